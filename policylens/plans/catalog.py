@@ -34,13 +34,22 @@ def query(name: str, oracle: str | None = None):
 def rnd(sql: str, cols, digits: int = 6, per_col: dict | None = None) -> str:
     """Oracle side of ``rounded``: round the named double columns of ``sql``.
 
-    ``+ 0.0`` turns a rounded negative zero into 0.0, as Spark never yields -0.0 there.
+    ``+ 0.0`` turns a negative zero into 0.0 (see ``round_half_away``).
     """
     per_col = per_col or {}
     rep = ", ".join(f'ROUND("{c}", {per_col.get(c, digits)}) + CAST(0 AS DOUBLE) AS "{c}"' for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS _q"
 
 
+def round_half_away(c, digits: int):
+    """Round a double half away from zero on its binary value: x*10^d is
+    rounded to an integer and divided back, the rule SQL engines apply to
+    doubles. Never yields -0.0."""
+    p = F.lit(float(10 ** digits))
+    return (F.when(c >= 0, F.floor(c * p + F.lit(0.5))).otherwise(-F.floor(-c * p + F.lit(0.5)))
+            .cast("double") / p)
+
+
 def rounded(df: DataFrame, digits: int = 6, big_digits: dict | None = None) -> DataFrame:
     """Round every double column (``big_digits`` overrides per column)."""
     big_digits = big_digits or {}
@@ -48,7 +57,7 @@ def rounded(df: DataFrame, digits: int = 6, big_digits: dict | None = None) -> D
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, big_digits.get(f.name, digits)).alias(f.name)
+            c = round_half_away(c, big_digits.get(f.name, digits)).alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
