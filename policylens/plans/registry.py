@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from policylens.plans import catalog
-from policylens.plans import q_features, q_policy  # noqa: F401  (registers queries)
+from policylens.plans import q_features, q_monitor, q_policy, q_registry  # noqa: F401  (registers queries)
 
 
 def queries():
