@@ -13,8 +13,6 @@ join and no exchange.
 from __future__ import annotations
 
 import datetime as _dt
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,8 +32,32 @@ def as_date(value) -> Column:
     return F.lit(value)
 
 
+def sql_literal(v) -> str:
+    """A Python constant as Spark SQL literal text (floats as DOUBLE)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return repr(v) + "D"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def map_literal(mapping: dict) -> Column:
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
+    """A constant map, built by one SQL expression (constant-folded)."""
+    body = ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in mapping.items())
+    return F.expr(f"map({body})")
+
+
+def array_literal(values) -> Column:
+    return F.expr("array(" + ", ".join(sql_literal(v) for v in values) + ")")
+
+
+def is_in(col, values) -> Column:
+    """``col IN (values)`` against a constant list (null col -> null)."""
+    return F.array_contains(array_literal(values), _c(col))
 
 
 def lookup(mapping: dict, key: Column, default=None) -> Column:
@@ -191,8 +213,8 @@ def enhanced_territory(zip_code, state) -> Column:
     """ordered rules on state and the first two ZIP digits."""
     z, s = _c(zip_code), _c(state)
     d1, d2 = F.substring(z, 1, 1), F.substring(z, 2, 1)
-    return (F.when(s.isin(*dims.COASTAL_STATES) & d2.isin("0", "1", "2"), "coastal")
-            .when(s.isin(*dims.MOUNTAIN_STATES), "mountain")
+    return (F.when(is_in(s, dims.COASTAL_STATES) & d2.isin("0", "1", "2"), "coastal")
+            .when(is_in(s, dims.MOUNTAIN_STATES), "mountain")
             .when(d1.isin("0", "1", "2", "3"),
                   F.when(d2.isin("0", "1"), "urban_high_density")
                   .when(d2.isin("2", "3", "4"), "urban_medium_density")
@@ -218,12 +240,15 @@ def state_risk(state) -> Column:
     return lookup(dims.STATE_RISK, _c(state), dims.STATE_RISK_DEFAULT)
 
 
+def weighted_location_risk(crime, weather, traffic, parking, vandalism, flood, state_factor) -> Column:
+    """F21 on already looked-up risks."""
+    return (crime * 0.3 + weather * 0.2 + traffic * 0.2 + parking * 0.1 + vandalism * 0.1 + flood * 0.1) * state_factor
+
+
 def combined_location_risk(terr, state) -> Column:
     """weighted territory risks x state risk."""
-    r = {c: enhanced_territory_risk(terr, c) for c in dims.ENHANCED_RISK_COLUMNS}
-    weighted = (r["crime_rate"] * 0.3 + r["weather_risk"] * 0.2 + r["traffic_density"] * 0.2
-                + r["parking_risk"] * 0.1 + r["vandalism_risk"] * 0.1 + r["flood_risk"] * 0.1)
-    return weighted * state_risk(state)
+    r = [enhanced_territory_risk(terr, c) for c in dims.ENHANCED_RISK_COLUMNS]
+    return weighted_location_risk(*r, state_risk(state))
 
 
 # ---- driver (F12-F15, J1) ---------------------------------------------------

@@ -60,9 +60,35 @@ def location_risk(locations: DataFrame) -> DataFrame:
         X.combined_location_risk(et, "state").alias("location_combined_risk"))
 
 
-def categorical_mode(child: DataFrame, col: str, out: str) -> DataFrame:
-    """A2: most frequent value per policy; ties -> smallest value."""
-    return child.groupBy("policy_id").agg(F.mode(F.col(col), True).alias(out))
+VEHICLE_CATEGORIES = sorted({v[0] for v in dims.VEHICLE_CATEGORY.values()} | {dims.VEHICLE_CATEGORY_DEFAULT[0]})
+ENHANCED_TERRITORIES = sorted(dims.ENHANCED_TERRITORY_RISK)
+
+
+def mode_aggs(col: str, categories: list[str], tag: str):
+    """A2 over a known, sorted category list: one count per category inside
+    the caller's hash aggregate, and the argmax as a final expression (ties ->
+    the smallest category, no value -> null). Plain long counters keep the
+    aggregate on the code-generated hash path."""
+    k = len(categories)
+    aggs = [F.count_if(F.col(col) == F.lit(c)).alias(f"_c|{tag}|{i}") for i, c in enumerate(categories)]
+    codes = [F.when(F.col(f"`_c|{tag}|{i}`") > 0, F.col(f"`_c|{tag}|{i}`") * F.lit(k) + F.lit(k - 1 - i))
+             for i in range(k)]
+    best = F.greatest(*codes) if k > 1 else codes[0]
+    idx = F.lit(k - 1) - F.pmod(best, F.lit(k))
+    final = F.element_at(F.array(*[F.lit(c) for c in categories]), (idx + 1).cast("int"))
+    return aggs, final
+
+
+def categorical_mode(child: DataFrame, col: str, out: str, categories: list[str] | None = None) -> DataFrame:
+    """A2: most frequent value per policy; ties -> smallest value.
+
+    With a known category list the counts stay in a code-generated hash
+    aggregate; otherwise ``F.mode(deterministic=True)`` is used (its buffer
+    is a value->count map, bounded by the distinct values per policy)."""
+    if categories is None:
+        return child.groupBy("policy_id").agg(F.mode(F.col(col), True).alias(out))
+    aggs, final = mode_aggs(col, categories, out)
+    return child.groupBy("policy_id").agg(*aggs).select("policy_id", final.alias(out))
 
 
 DRIVER_EXTRA = ("age_risk_factor", "experience_risk_factor", "license_recency_factor", "age_experience_ratio")
@@ -109,7 +135,7 @@ def enhanced_location_frame(locations, vocab) -> DataFrame:
     """X4 columns plus the X8 risk columns, one row per location."""
     terr = X.territory("zip_code")
     et = X.enhanced_territory("zip_code", "state")
-    return locations.select(
+    loc = locations.select(
         "policy_id",
         *[X.territory_risk(terr, w).alias(w) for w in ("crime_rate", "weather_risk", "traffic_density")],
         *[X.one_hot(terr, t).alias(f"territory_{t}") for t in dims.TERRITORIES],
@@ -117,22 +143,26 @@ def enhanced_location_frame(locations, vocab) -> DataFrame:
         et.alias("enhanced_territory"),
         *[X.enhanced_territory_risk(et, c).alias(f"territory_{c}") for c in dims.ENHANCED_RISK_COLUMNS],
         X.state_risk("state").alias("state_risk_factor"),
-        X.combined_location_risk(et, "state").alias("location_combined_risk"),
     )
+    return loc.select("*", X.weighted_location_risk(*[F.col(f"territory_{c}") for c in dims.ENHANCED_RISK_COLUMNS],
+                                                    F.col("state_risk_factor")).alias("location_combined_risk"))
 
 
 def _stats_and_mode(frame: DataFrame, prefix: str, count_name: str, cat_col: str | None) -> DataFrame:
     numeric = [c for c in frame.columns if c not in ("policy_id", cat_col)]
-    aggs = []
-    for c in numeric:
-        v = F.col(f"`{c}`").cast("double")
-        aggs += [F.coalesce(F.avg(v), F.lit(0.0)).alias(f"{prefix}_{c}_mean"),
-                 F.coalesce(F.max(v), F.lit(0.0)).alias(f"{prefix}_{c}_max"),
-                 F.coalesce(F.min(v), F.lit(0.0)).alias(f"{prefix}_{c}_min")]
+    aggs, finals = B.stat_aggs(numeric)
+    mode_final = None
     if cat_col:
-        aggs.append(F.mode(F.col(cat_col), True).alias(f"{prefix}_{cat_col}_mode"))
+        cats = VEHICLE_CATEGORIES if cat_col == "vehicle_category" else ENHANCED_TERRITORIES
+        m_aggs, mode_final = mode_aggs(cat_col, cats, cat_col)
+        aggs += m_aggs
     aggs.append(F.count(F.lit(1)).alias(count_name))
-    return frame.groupBy("policy_id").agg(*aggs)
+    g = frame.groupBy("policy_id").agg(*aggs)
+    out = [F.col("policy_id")] + [F.expr(e) for e in B.stat_selects(finals, prefix)]
+    if cat_col:
+        out.append(mode_final.alias(f"{prefix}_{cat_col}_mode"))
+    out.append(F.col(count_name))
+    return g.select(*out)
 
 
 def policy_features_enhanced(policies, drivers, vehicles, history, locations, vocab, as_of,
@@ -147,27 +177,4 @@ def policy_features_enhanced(policies, drivers, vehicles, history, locations, vo
     base = policies.select("policy_id", "effective_date", "expiration_date", "credit_score", "insurance_score")
     j = (base.join(dagg, "policy_id", "left").join(vagg, "policy_id", "left")
          .join(hagg, "policy_id", "left").join(lagg, "policy_id", "left"))
-
-    def num(c):
-        return F.coalesce(F.col(c), F.lit(0)).cast("double")
-
-    out = [F.col("policy_id"),
-           X.duration_days("effective_date", "expiration_date").cast("double").alias("policy_duration_days"),
-           num("num_drivers").alias("num_drivers"), num("num_vehicles").alias("num_vehicles"),
-           num("num_locations").alias("num_locations"),
-           X.ratio_at_least_one(num("num_vehicles"), num("num_drivers")).alias("vehicle_per_driver_ratio")]
-    for agg, cnt in ((dagg, "num_drivers"), (vagg, "num_vehicles")):
-        for c in agg.columns:
-            if c in ("policy_id", cnt):
-                continue
-            out.append(F.col(f"`{c}`").alias(c) if c.endswith("_mode")
-                       else F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c))
-    out += [F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in B.HISTORY_DEFAULTS.items()]
-    for c in lagg.columns:
-        if c in ("policy_id", "num_locations"):
-            continue
-        out.append(F.col(f"`{c}`").alias(c) if c.endswith("_mode")
-                   else F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c))
-    out += [F.coalesce(X.truthy("credit_score"), F.lit(0.0)).alias("credit_score"),
-            F.coalesce(X.truthy("insurance_score"), F.lit(0.0)).alias("insurance_score")]
-    return j.select(*out)
+    return j.selectExpr("policy_id", *B.policy_row_sql(dagg, vagg, lagg))

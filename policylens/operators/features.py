@@ -14,6 +14,7 @@ the map side and never lands whole in one task.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -126,19 +127,57 @@ def location_features(locations: DataFrame, vocab: Vocabulary) -> DataFrame:
 
 # ---- per-policy aggregation --------------------------------------------------------
 
+_BINARY = re.compile(r"^(age_band_|gender_|marital_status_|vehicle_class_|use_)"
+                     r"|^territory_(urban|suburban|rural|default)$|^state_[A-Z]{2}$")
+
+
+def is_binary(name: str) -> bool:
+    """One-hot columns hold only 0, 1 (or null for an absent category).
+    Anything not matched takes the general (avg/max/min) path."""
+    return bool(_BINARY.match(name))
+
+
+def stat_aggs(value_cols, binary=is_binary):
+    """Aggregates + final SQL expressions for mean/max/min per column.
+
+    For a 0/1 column the three statistics follow from its sum and non-null
+    count (mean = s/n, max = [s > 0], min = [s = n]), so it needs two cheap
+    integer aggregates instead of three; this keeps the wide per-policy
+    aggregate small. A statistic over no value is 0. Both lists are SQL text
+    so that a wide aggregate costs one call per column to build.
+    """
+    aggs, finals = [], []
+    for c in value_cols:
+        if binary(c):
+            aggs += [F.expr(f"sum(CAST(`{c}` AS BIGINT)) AS `_s|{c}`"), F.expr(f"count(`{c}`) AS `_n|{c}`")]
+            s, n = f"`_s|{c}`", f"`_n|{c}`"
+            finals.append((c, f"CASE WHEN {n} > 0 THEN CAST({s} AS DOUBLE) / {n} ELSE 0.0D END",
+                           f"CASE WHEN {s} > 0 THEN 1.0D ELSE 0.0D END",
+                           f"CASE WHEN {n} > 0 AND {s} = {n} THEN 1.0D ELSE 0.0D END"))
+        else:
+            v = f"CAST(`{c}` AS DOUBLE)"
+            aggs += [F.expr(f"avg({v}) AS `_a|{c}`"), F.expr(f"max({v}) AS `_x|{c}`"),
+                     F.expr(f"min({v}) AS `_m|{c}`")]
+            finals.append((c, f"coalesce(`_a|{c}`, 0.0D)", f"coalesce(`_x|{c}`, 0.0D)", f"coalesce(`_m|{c}`, 0.0D)"))
+    return aggs, finals
+
+
+def stat_selects(finals, prefix: str) -> list[str]:
+    out = []
+    for c, mean, mx, mn in finals:
+        out += [f"{mean} AS `{prefix}_{c}_mean`", f"{mx} AS `{prefix}_{c}_max`", f"{mn} AS `{prefix}_{c}_min`"]
+    return out
+
+
 def numeric_stats(child: DataFrame, prefix: str, count_name: str | None = None) -> DataFrame:
     """A1: mean/max/min per policy for every numeric child column (nulls
-    skipped; a statistic over no value is 0)."""
+    skipped; a statistic over no value is 0), in one hash aggregate."""
     value_cols = [c for c in child.columns if c != "policy_id"]
-    aggs = []
-    for c in value_cols:
-        v = F.col(f"`{c}`").cast("double")
-        aggs += [F.coalesce(F.avg(v), F.lit(0.0)).alias(f"{prefix}_{c}_mean"),
-                 F.coalesce(F.max(v), F.lit(0.0)).alias(f"{prefix}_{c}_max"),
-                 F.coalesce(F.min(v), F.lit(0.0)).alias(f"{prefix}_{c}_min")]
+    aggs, finals = stat_aggs(value_cols)
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
-    return child.groupBy("policy_id").agg(*aggs)
+    g = child.groupBy("policy_id").agg(*aggs)
+    return g.selectExpr("policy_id", *stat_selects(finals, prefix), *([count_name] if count_name else []))
 
 
 def history_features(history: DataFrame, as_of) -> DataFrame:
@@ -205,23 +244,28 @@ def policy_features(policies: DataFrame, drivers: DataFrame, vehicles: DataFrame
     j = (base.join(dagg, "policy_id", "left").join(vagg, "policy_id", "left")
          .join(hagg, "policy_id", "left").join(lagg, "policy_id", "left"))
 
+    return j.selectExpr("policy_id", *policy_row_sql(dagg, vagg, lagg, "num_drivers", "num_vehicles",
+                                                      "num_locations"))
+
+
+def policy_row_sql(dagg, vagg, lagg, nd="num_drivers", nv="num_vehicles", nl="num_locations") -> list[str]:
+    """Final projection of the wide policy row (J7) as SQL text."""
     def num(c):
-        return F.coalesce(F.col(c), F.lit(0)).cast("double")
-
-    shape = [X.duration_days("effective_date", "expiration_date").cast("double").alias("policy_duration_days"),
-             num("num_drivers").alias("num_drivers"), num("num_vehicles").alias("num_vehicles"),
-             num("num_locations").alias("num_locations"),
-             X.ratio_at_least_one(num("num_vehicles"), num("num_drivers")).alias("vehicle_per_driver_ratio")]
-    zero_fill = [F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c)
-                 for agg in (dagg,) for c in agg.columns if c not in ("policy_id", "num_drivers")]
-    zero_fill += [F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c)
-                  for c in vagg.columns if c not in ("policy_id", "num_vehicles")]
-    hist = [F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in HISTORY_DEFAULTS.items()]
-    loc = [F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c)
-           for c in lagg.columns if c not in ("policy_id", "num_locations")]
-    scores = [F.coalesce(X.truthy("credit_score"), F.lit(0.0)).alias("credit_score"),
-              F.coalesce(X.truthy("insurance_score"), F.lit(0.0)).alias("insurance_score")]
-    return j.select(F.col("policy_id"), *shape, *zero_fill, *hist, *loc, *scores)
+        return f"CAST(coalesce({c}, 0) AS DOUBLE)"
+    out = ["CAST(datediff(expiration_date, effective_date) AS DOUBLE) AS policy_duration_days",
+           f"{num(nd)} AS num_drivers", f"{num(nv)} AS num_vehicles", f"{num(nl)} AS num_locations",
+           f"{num(nv)} / greatest(1.0D, {num(nd)}) AS vehicle_per_driver_ratio"]
+    for agg, cnt in ((dagg, nd), (vagg, nv)):
+        for c in agg.columns:
+            if c not in ("policy_id", cnt):
+                out.append(f"`{c}`" if c.endswith("_mode") else f"coalesce(`{c}`, 0.0D) AS `{c}`")
+    out += [f"coalesce({c}, {float(v)!r}D) AS {c}" for c, v in HISTORY_DEFAULTS.items()]
+    for c in lagg.columns:
+        if c not in ("policy_id", nl):
+            out.append(f"`{c}`" if c.endswith("_mode") else f"coalesce(`{c}`, 0.0D) AS `{c}`")
+    out += ["coalesce(nullif(credit_score, 0.0D), 0.0D) AS credit_score",
+            "coalesce(nullif(insurance_score, 0.0D), 0.0D) AS insurance_score"]
+    return out
 
 
 def feature_names(df: DataFrame) -> list[str]:

@@ -126,7 +126,9 @@ def numeric_features(values: DataFrame) -> DataFrame:
 def numeric_long(split: DataFrame) -> DataFrame:
     vals = feature_values(split)
     keep = numeric_features(vals)
-    return vals.join(_bcast(keep), ["model_id", "feature"], "left_semi").select(
+    # The key list is small; AQE broadcasts it at run time from its measured
+    # size (and keeps a shuffle join beyond the threshold).
+    return vals.join(keep, ["model_id", "feature"], "left_semi").select(
         "model_id", "period", "feature", "value")
 
 
@@ -168,7 +170,7 @@ def psi(long: DataFrame, bins: int = BIN_COUNT) -> DataFrame:
     vals = long.where(v.isNotNull())
     bounds = vals.groupBy("model_id", "feature").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
     b = bin_index(v, F.col("_lo"), F.col("_hi"), bins)
-    counts = (vals.join(_bcast(bounds), ["model_id", "feature"])
+    counts = (vals.join(bounds, ["model_id", "feature"])
               .groupBy("model_id", "feature", b.alias("bin"))
               .agg(F.count_if(F.col("period") == "reference").alias("_rc"),
                    F.count_if(F.col("period") == "current").alias("_cc")))

@@ -50,16 +50,25 @@ def round_half_away(c, digits: int):
             .cast("double") / p)
 
 
+def round_sql(name: str, digits: int) -> str:
+    """SQL text of ``round_half_away`` for one column."""
+    q = f"`{name}`"
+    p = f"{float(10 ** digits)!r}D"
+    return (f"CAST(CASE WHEN {q} >= 0 THEN floor({q} * {p} + 0.5D) ELSE -floor(-{q} * {p} + 0.5D) END "
+            f"AS DOUBLE) / {p} AS `{name}`")
+
+
 def rounded(df: DataFrame, digits: int = 6, big_digits: dict | None = None) -> DataFrame:
-    """Round every double column (``big_digits`` overrides per column)."""
+    """Round every double column (``big_digits`` overrides per column), as
+    one projection built from SQL text."""
     big_digits = big_digits or {}
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = round_half_away(c, big_digits.get(f.name, digits)).alias(f.name)
-        cols.append(c)
-    return df.select(*cols)
+            exprs.append(round_sql(f.name, big_digits.get(f.name, digits)))
+        else:
+            exprs.append(f"`{f.name}`")
+    return df.selectExpr(*exprs)
 
 
 def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:

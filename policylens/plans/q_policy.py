@@ -12,8 +12,15 @@ from policylens.plans.q_features import (AS_OF, SQL_AGE_BAND, SQL_ENH_TERRITORY,
 from policylens.sources.tables import with_clause
 
 
+_VOCAB: dict = {}
+
+
 def vocab_for(fx):
-    return features.fit_vocabulary(fx.drivers, fx.vehicles, fx.history, fx.locations)
+    """Encoders are fitted once per session and data folder, then reused."""
+    key = (id(fx.spark), fx.sf_dir)
+    if key not in _VOCAB:
+        _VOCAB[key] = features.fit_vocabulary(fx.drivers, fx.vehicles, fx.history, fx.locations)
+    return _VOCAB[key]
 
 
 # ---- oracle-side vocabulary: what the fixture rules can produce -------------------
@@ -297,9 +304,9 @@ FULL OUTER JOIN ({_mode_sql(_L_ET_FRAME, 'c', 'enhanced_territory_mode')}) b ON
 def q_categorical_mode(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     v = enhanced.categorical_mode(enhanced.vehicle_risk(fx.vehicles, AS_OF), "vehicle_category",
-                                  "vehicle_category_mode")
+                                  "vehicle_category_mode", enhanced.VEHICLE_CATEGORIES)
     loc = enhanced.categorical_mode(enhanced.location_risk(fx.locations), "enhanced_territory",
-                                    "enhanced_territory_mode")
+                                    "enhanced_territory_mode", enhanced.ENHANCED_TERRITORIES)
     return v.join(loc, "policy_id", "full_outer")
 
 

@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Client-side call-site capture for error messages costs several JVM
+    # round trips per Column function; plans here build thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -33,10 +36,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    fast_builds(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def fast_builds(spark: SparkSession) -> None:
+    """Turn off per-call call-site capture on a session made elsewhere."""
+    if spark.conf.get("spark.python.sql.dataFrameDebugging.enabled", "true").lower() != "false":
+        spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
+        import pyspark.errors.utils as _u
+        if hasattr(_u, "_enable_debugging_cache"):
+            _u._enable_debugging_cache = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

@@ -145,12 +145,24 @@ def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
 
 
 class Fixtures:
-    """Typed handles on the adapter views for one scale-factor folder."""
+    """Typed handles on the adapter views for one scale-factor folder.
+
+    Views are registered once per session and folder; later handles reuse
+    them (the views are lazy plans, so nothing is read until a query runs).
+    """
+
+    _registered: dict = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from policylens.session import checkpoint_dir, fast_builds
+        fast_builds(spark)
+        checkpoint_dir(spark)
         self.spark = spark
         self.sf_dir = sf_dir
-        register_fixtures(spark, sf_dir)
+        key = id(spark)
+        if Fixtures._registered.get(key) != sf_dir or not spark.catalog.tableExists("fx_policy"):
+            register_fixtures(spark, sf_dir)
+            Fixtures._registered[key] = sf_dir
 
     def view(self, name: str) -> DataFrame:
         return self.spark.table(name)
