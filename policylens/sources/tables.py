@@ -112,6 +112,41 @@ SELECT s_suppkey AS metric_id, CAST(s_nationkey AS INT) AS model_id,
 FROM supplier
 """
 
+# Pricing requests as they arrive: dates as text, enums in any case, some
+# unknown enum values and some impossible dates (rules keyed on policy_id).
+FX_REQ_POLICY = """
+SELECT policy_id,
+       CASE WHEN policy_id % 101 = 0 THEN '2001-13-01' ELSE CAST(effective_date AS STRING) END AS effective_date,
+       CAST(expiration_date AS STRING) AS expiration_date, credit_score, insurance_score, territory_factor
+FROM fx_policy
+"""
+
+FX_REQ_DRIVER = """
+SELECT policy_id,
+       CASE WHEN policy_id % 97 = 0 THEN '1990-02-30' ELSE CAST(date_of_birth AS STRING) END AS date_of_birth,
+       CAST(license_issue_date AS STRING) AS license_issue_date,
+       CASE WHEN policy_id % 11 = 0 THEN upper(gender) WHEN policy_id % 13 = 0 THEN 'unknown' ELSE gender END AS gender,
+       CASE WHEN policy_id % 17 = 0 THEN upper(marital_status) ELSE marital_status END AS marital_status, occupation
+FROM fx_driver
+"""
+
+FX_REQ_VEHICLE = """
+SELECT policy_id, make, model, year, value,
+       CASE WHEN policy_id % 7 = 0 THEN upper(primary_use) WHEN policy_id % 23 = 0 THEN 'racing' ELSE primary_use END
+         AS primary_use,
+       annual_mileage, anti_theft_device
+FROM fx_vehicle
+"""
+
+FX_REQ_HISTORY = """
+SELECT policy_id,
+       CASE WHEN policy_id % 29 = 0 THEN 'speeding' WHEN policy_id % 3 = 0 THEN upper(incident_type) ELSE incident_type END
+         AS incident_type,
+       CAST(incident_date AS STRING) AS incident_date,
+       CASE WHEN policy_id % 31 = 0 THEN 'severe' ELSE severity END AS severity, claim_amount, at_fault
+FROM fx_history
+"""
+
 FIXTURE_VIEWS = {
     "fx_policy": FX_POLICY,
     "fx_driver": FX_DRIVER,
@@ -123,6 +158,10 @@ FIXTURE_VIEWS = {
     "fx_model_version": FX_MODEL_VERSION,
     "fx_importance": FX_IMPORTANCE,
     "fx_metric": FX_METRIC,
+    "fx_req_policy": FX_REQ_POLICY,
+    "fx_req_driver": FX_REQ_DRIVER,
+    "fx_req_vehicle": FX_REQ_VEHICLE,
+    "fx_req_history": FX_REQ_HISTORY,
 }
 
 
@@ -206,3 +245,8 @@ class Fixtures:
     @property
     def metrics(self) -> DataFrame:
         return self.view("fx_metric")
+
+    def request_tables(self) -> dict:
+        return {"policies": self.view("fx_req_policy"), "drivers": self.view("fx_req_driver"),
+                "vehicles": self.view("fx_req_vehicle"), "history": self.view("fx_req_history"),
+                "locations": self.view("fx_location")}
