@@ -25,12 +25,13 @@ def _one(x: float) -> Column:
     return F.lit(float(x))
 
 
-def driver_multipliers(as_of) -> dict[str, Column]:
-    """R1 per driver row."""
+def driver_multipliers(as_of, get=F.col) -> dict[str, Column]:
+    """R1 per driver (``get`` reads a field: a column, or a struct element
+    inside ``transform``/``aggregate`` for nested policies)."""
     a = X.as_date(as_of)
-    age = X.whole_years(a, "date_of_birth")
-    exp = X.whole_years(a, "license_issue_date")
-    occ = F.col("occupation")
+    age = X.whole_years(a, get("date_of_birth"))
+    exp = X.whole_years(a, get("license_issue_date"))
+    occ = get("occupation")
     return {
         "driver_age_factor": F.when(age < 25, _one(1.5)).when(age < 35, _one(1.2))
         .when(age > 65, _one(1.3)).otherwise(_one(1.0)),
@@ -40,10 +41,10 @@ def driver_multipliers(as_of) -> dict[str, Column]:
     }
 
 
-def vehicle_multipliers(as_of) -> dict[str, Column]:
-    """R2 per vehicle row."""
-    age = X.vehicle_age(X.as_date(as_of), "year")
-    v, use = F.col("value"), F.col("primary_use")
+def vehicle_multipliers(as_of, get=F.col) -> dict[str, Column]:
+    """R2 per vehicle."""
+    age = X.vehicle_age(X.as_date(as_of), get("year"))
+    v, use = get("value"), get("primary_use")
     return {
         "vehicle_age_factor": F.when(age < 3, _one(1.2)).when(age > 10, _one(1.1)).otherwise(_one(1.0)),
         "vehicle_value_factor": F.when(v > 30000, _one(1.3)).when(v > 20000, _one(1.2))
@@ -53,9 +54,9 @@ def vehicle_multipliers(as_of) -> dict[str, Column]:
     }
 
 
-def history_multipliers() -> dict[str, Column]:
-    """R3 per incident row."""
-    t, s, amt = F.col("incident_type"), F.col("severity"), F.col("claim_amount")
+def history_multipliers(get=F.col) -> dict[str, Column]:
+    """R3 per incident."""
+    t, s, amt = get("incident_type"), get("severity"), get("claim_amount")
     by_sev = lambda major, moderate, other: (F.when(s == "major", _one(major))
                                              .when(s == "moderate", _one(moderate)).otherwise(_one(other)))
     return {
@@ -66,9 +67,9 @@ def history_multipliers() -> dict[str, Column]:
     }
 
 
-def location_multipliers() -> dict[str, Column]:
-    """R4 per location row."""
-    d = F.substring(F.col("zip_code"), 1, 1)
+def location_multipliers(get=F.col) -> dict[str, Column]:
+    """R4 per location."""
+    d = F.substring(get("zip_code"), 1, 1)
     return {"location_factor": F.when(d.isin("1", "2", "3"), _one(1.2))
             .when(d.isin("4", "5", "6"), _one(1.1)).otherwise(_one(1.0))}
 
@@ -111,6 +112,26 @@ def rate_policy(policies: DataFrame, drivers: DataFrame, vehicles: DataFrame, hi
     return j.select(*cols, premium.alias("premium"))
 
 
+def rate_nested(policies: DataFrame, as_of, base_premium: float = BASE_PREMIUM) -> DataFrame:
+    """R5 on nested policy records: each factor is a fold over the child array
+    (``aggregate``), so a stream of requests is priced without any shuffle."""
+    def fold(arr: str, mults_fn, name: str) -> Column:
+        return F.aggregate(F.coalesce(F.col(arr), F.array()), F.lit(1.0),
+                           lambda acc, x: acc * mults_fn(lambda f: x[f])[name])
+    parts = {}
+    for n in DRIVER_FACTORS:
+        parts[n] = fold("drivers", lambda g: driver_multipliers(as_of, g), n)
+    for n in VEHICLE_FACTORS:
+        parts[n] = fold("vehicles", lambda g: vehicle_multipliers(as_of, g), n)
+    for n in HISTORY_FACTORS:
+        parts[n] = fold("driving_history", lambda g: history_multipliers(g), n)
+    parts["location_factor"] = fold("locations", lambda g: location_multipliers(g), "location_factor")
+    premium = F.lit(float(base_premium))
+    for n in ALL_FACTORS:
+        premium = premium * parts[n]
+    return policies.select("*", premium.alias("premium"))
+
+
 def labelled_dataset(features: DataFrame, premiums: DataFrame) -> DataFrame:
     """Each policy's features with its premium (inner join on id)."""
     return features.join(premiums.select("policy_id", "premium"), "policy_id", "inner")
