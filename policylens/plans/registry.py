@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from policylens.plans import catalog
 from policylens.plans import (q_features, q_monitor, q_policy, q_quote, q_registry, q_requests,  # noqa: F401
-                              q_sinks, q_streaming)
+                              q_ml, q_sinks, q_streaming)
 
 
 def queries():
