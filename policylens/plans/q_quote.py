@@ -340,3 +340,11 @@ def q_train_test_split(spark, sf_dir):
     """Exactly ceil(0.2 n) policies in test, chosen by a seeded hash."""
     fx = fixtures(spark, sf_dir)
     return metrics.train_test_split(fx.policies.select("policy_id"), "policy_id", 0.2, 42)
+
+
+@query("explanation_sample", oracle=with_clause("fx_policy") + f"""
+SELECT policy_id, effective_date FROM fx_policy ORDER BY {_SPLIT_KEY}, policy_id LIMIT 100""")
+def q_explanation_sample(spark, sf_dir):
+    """A deterministic sample of 100 policies (the sample is the feature)."""
+    fx = fixtures(spark, sf_dir)
+    return metrics.explanation_sample(fx.policies.select("policy_id", "effective_date"), "policy_id", 100, 42)

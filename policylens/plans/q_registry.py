@@ -127,3 +127,18 @@ def q_top_features(spark, sf_dir):
     """Top 5 features per model."""
     imp = R.importance_rows(fixtures(spark, sf_dir).importances)
     return rounded(R.top_features(imp, 5).withColumn("rank", F.col("rank").cast("long")))
+
+
+@query("model_info", oracle=rnd(with_clause("fx_model_version", "fx_metric") + f"""
+SELECT a.model_id, a.model_name, a.model_version, m.mae, m.mse, m.r2, m.rmse
+FROM (SELECT model_id, model_name, model_version FROM ({_STATE_SQL}) WHERE is_active) a
+LEFT JOIN (SELECT model_id,
+             max(CASE WHEN metric_name = 'mae' THEN v END) AS mae, max(CASE WHEN metric_name = 'mse' THEN v END) AS mse,
+             max(CASE WHEN metric_name = 'r2' THEN v END) AS r2, max(CASE WHEN metric_name = 'rmse' THEN v END) AS rmse
+           FROM (SELECT model_id, metric_name, arg_max(metric_value, metric_id) AS v FROM fx_metric GROUP BY 1, 2)
+           GROUP BY 1) m USING (model_id)""", ["mae", "mse", "r2", "rmse"]))
+def q_model_info(spark, sf_dir):
+    """The active model with its latest metrics (the service's model-info payload)."""
+    fx = fixtures(spark, sf_dir)
+    active = R.active_model(R.register_state(fx.model_versions))
+    return rounded(active.join(R.metrics_pivot(fx.metrics), "model_id", "left"))
