@@ -20,6 +20,10 @@ BASE_CONF = {
     # Client-side call-site capture for error messages costs several JVM
     # round trips per Column function; plans here build thousands of them.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode; whole-stage
+    # code that large runs interpreted, so such stages fall back to
+    # per-operator code (the value Spark documents for HotSpot).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -42,7 +46,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def fast_builds(spark: SparkSession) -> None:
-    """Turn off per-call call-site capture on a session made elsewhere."""
+    """Turn off per-call call-site capture on a session made elsewhere, and
+    use the HotSpot method limit for whole-stage code if none was chosen."""
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     if spark.conf.get("spark.python.sql.dataFrameDebugging.enabled", "true").lower() != "false":
         spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
         import pyspark.errors.utils as _u
