@@ -70,7 +70,9 @@ def period_split(history: DataFrame, group: str = "model_id", order_col: str = "
     ties = ties.withColumn("period", F.when(F.row_number().over(w) <= F.col("_tb"), "reference")
                            .otherwise("current"))
     others = others.withColumn("period", F.when(t < F.col("_cut"), "reference").otherwise("current"))
-    return ties.unionByName(others).drop("_t", "_cut", "_tb")
+    # Every consumer (statistics, PSI bounds and bins, prediction drift)
+    # reads the split several times: write it once to the shared folder.
+    return ties.unionByName(others).drop("_t", "_cut", "_tb").checkpoint(eager=True)
 
 
 def period_bounds(split: DataFrame, group: str = "model_id") -> DataFrame:
@@ -124,7 +126,13 @@ def numeric_features(values: DataFrame) -> DataFrame:
 
 
 def numeric_long(split: DataFrame) -> DataFrame:
-    vals = feature_values(split)
+    """(model, period, feature, value) for numeric keys.
+
+    The JSON is parsed once: the parsed values are checkpointed to the
+    shared folder, and the key check, statistics, bounds and bin counts all
+    read that table instead of re-parsing the log (which also cuts lineage).
+    """
+    vals = feature_values(split).checkpoint(eager=True)
     keep = numeric_features(vals)
     # The key list is small; AQE broadcasts it at run time from its measured
     # size (and keeps a shuffle join beyond the threshold).
