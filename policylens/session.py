@@ -24,6 +24,8 @@ BASE_CONF = {
     # code that large runs interpreted, so such stages fall back to
     # per-operator code (the value Spark documents for HotSpot).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Remove checkpoint files once the DataFrame that owns them is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
