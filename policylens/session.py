@@ -24,6 +24,9 @@ BASE_CONF = {
     # code that large runs interpreted, so such stages fall back to
     # per-operator code (the value Spark documents for HotSpot).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # After a shuffle, join by hash instead of sort when AQE has measured every
+    # partition below this size (sort-merge stays the plan beyond it).
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Remove checkpoint files once the DataFrame that owns them is gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -52,6 +55,8 @@ def fast_builds(spark: SparkSession) -> None:
     use the HotSpot method limit for whole-stage code if none was chosen."""
     if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    if spark.conf.get("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "0") in ("0", "0b"):
+        spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     if spark.conf.get("spark.python.sql.dataFrameDebugging.enabled", "true").lower() != "false":
         spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
         import pyspark.errors.utils as _u
