@@ -27,6 +27,10 @@ BASE_CONF = {
     # After a shuffle, join by hash instead of sort when AQE has measured every
     # partition below this size (sort-merge stays the plan beyond it).
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # The driver keeps a description of every finished SQL execution; plans
+    # here are wide, so keep few and cap the stored plan text.
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.sql.maxPlanStringLength": "100000",
     # Remove checkpoint files once the DataFrame that owns them is gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -55,6 +59,10 @@ def fast_builds(spark: SparkSession) -> None:
     use the HotSpot method limit for whole-stage code if none was chosen."""
     if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    cap = spark.conf.get("spark.sql.maxPlanStringLength", "2147483632b").rstrip("b")
+    if cap.isdigit() and int(cap) > 100000:
+        # Finished executions keep their plan text on the driver; cap it.
+        spark.conf.set("spark.sql.maxPlanStringLength", "100000")
     if spark.conf.get("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "0") in ("0", "0b"):
         spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     if spark.conf.get("spark.python.sql.dataFrameDebugging.enabled", "true").lower() != "false":
