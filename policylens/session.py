@@ -54,22 +54,31 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _set_if(spark: SparkSession, key: str, value: str, when) -> None:
+    """Set a runtime SQL setting when ``when(current)`` holds; never fail."""
+    try:
+        if when(spark.conf.get(key, None)):
+            spark.conf.set(key, value)
+    except Exception:  # noqa: BLE001 - a setting we cannot change is left as is
+        pass
+
+
 def fast_builds(spark: SparkSession) -> None:
-    """Turn off per-call call-site capture on a session made elsewhere, and
-    use the HotSpot method limit for whole-stage code if none was chosen."""
-    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
-        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    cap = spark.conf.get("spark.sql.maxPlanStringLength", "2147483632b").rstrip("b")
-    if cap.isdigit() and int(cap) > 100000:
-        # Finished executions keep their plan text on the driver; cap it.
-        spark.conf.set("spark.sql.maxPlanStringLength", "100000")
-    if spark.conf.get("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "0") in ("0", "0b"):
-        spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
-    if spark.conf.get("spark.python.sql.dataFrameDebugging.enabled", "true").lower() != "false":
-        spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
-        import pyspark.errors.utils as _u
-        if hasattr(_u, "_enable_debugging_cache"):
-            _u._enable_debugging_cache = None
+    """Settings for a session made elsewhere (e.g. by a test harness).
+
+    Call-site capture is a static setting there, so it is switched off on
+    the Python client itself (it only affects error messages). The codegen
+    method limit, the stored plan text and the hash-join threshold are
+    runtime settings and are set only while they still have Spark's defaults.
+    """
+    import pyspark.errors.utils as _u
+    if hasattr(_u, "_enable_debugging_cache"):
+        _u._enable_debugging_cache = False
+    _set_if(spark, "spark.sql.codegen.hugeMethodLimit", "8000", lambda v: v in (None, "65535"))
+    _set_if(spark, "spark.sql.maxPlanStringLength", "100000",
+            lambda v: v is None or (v.rstrip("b").isdigit() and int(v.rstrip("b")) > 100000))
+    _set_if(spark, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB",
+            lambda v: v in (None, "0", "0b"))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
