@@ -10,8 +10,8 @@ likelihood; pairs that may reach the threshold are verified on the full sets.
 
 Documents with equal sets are one class with one representative, so copies
 never form pairs. In a band's bucket every member is held against the
-bucket's smallest id; then, in buckets whose members are not yet all connected, members
-of different components are held against each other. What shares a bucket and is
+bucket's smallest id, its leader; then, in a leader's group whose members are not yet all
+connected, members of different components are held against each other. What shares a bucket and is
 linked is therefore always connected, without all pairs of a group of near copies.
 """
 
@@ -34,7 +34,8 @@ from policylens.llm.text import Scratch, ascii_lower, small, words
 class Sketching:
     """percent: links need 100 * intersection >= percent * union. bands x rows registers: a link at
     the threshold is missed with probability (1 - 0.8^rows)^bands, 1.3e-7 here. base, a, q: the spacing
-    of registers (16 bits). slack: standard errors by which an estimate may fall short before verification. shingle: words of a shingle."""
+    of registers (16 bits). slack: standard errors by which an estimate may fall short before verification. shingle: words of a shingle.
+    block: members of a leader's group that meet others in one task."""
 
     percent: int = 80
     bands: int = 40
@@ -44,6 +45,7 @@ class Sketching:
     q: int = 65534
     slack: float = 6.0
     shingle: int = 5
+    block: int = 512
 
     @property
     def m(self) -> int:
@@ -126,18 +128,63 @@ def estimate(n1, n2, r1: np.ndarray, r2: np.ndarray, s: Sketching) -> np.ndarray
     return (low + high) / 2
 
 
-def _likely(s: Sketching):
+def least_estimate(s: Sketching) -> float:
+    """The smallest estimate that calls for verification."""
     t = s.percent / 100
-    least = t - s.slack * (t * (1 - t) / s.m) ** 0.5
+    return t - s.slack * (t * (1 - t) / s.m) ** 0.5
+
+
+def may_link(n1, n2, r1: np.ndarray, r2: np.ndarray, s: Sketching) -> np.ndarray:
+    """Whether the estimate reaches ``least_estimate``: the likelihood, being concave, still rises there."""
+    n1, n2 = np.asarray(n1, float), np.asarray(n2, float)
+    larger, smaller = (r1 > r2).sum(1), (r1 < r2).sum(1)
+    at = np.full(len(n1), least_estimate(s))
+    return (np.minimum(n1, n2) >= at * np.maximum(n1, n2)) & (_slopes(at, n1, n2, larger, smaller, s.m - larger - smaller, s) >= 0)
 
+
+def _likely(s: Sketching):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, len(batch), 4096):
                 part = batch.slice(k, 4096)
                 r1, r2 = (np.frombuffer(b"".join(part.column(c).to_pylist()), "<u2").reshape(-1, s.m) for c in ("r1", "r2"))
-                j = estimate(part.column("n1").to_numpy(), part.column("n2").to_numpy(), r1, r2, s)
-                ok = np.flatnonzero(j >= least)
-                yield pa.RecordBatch.from_arrays([part.column("a").take(pa.array(ok)), part.column("b").take(pa.array(ok)), pa.array(j[ok])], ["a", "b", "estimate"])
+                ok = pa.array(np.flatnonzero(may_link(part.column("n1").to_numpy(), part.column("n2").to_numpy(), r1, r2, s)))
+                yield pa.RecordBatch.from_arrays([part.column("a").take(ok), part.column("b").take(ok)], ["a", "b"])
+    return run
+
+
+def _join_components(s: Sketching):
+    """A block of a leader's group -> links between its components, one for each two that it joins.
+
+    Every pair of different components is estimated by registers and, where it may be a link, verified on the full sets.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        table = table.take(pa.array(np.argsort(table.column("b").to_numpy(), kind="stable")))
+        ids = table.column("b").to_pylist()
+        _, at = np.unique(table.column("label").to_numpy(), return_inverse=True)
+        regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(-1, s.m)
+        flat, offsets = rolling.lists(table.column("set").combine_chunks())
+        n = np.diff(offsets)
+        out: tuple[list, list] = ([], [])
+        group = at.copy()
+        ahead = np.ones(len(ids), bool)
+        for x in np.argsort(np.bincount(at)[at], kind="stable"):  # members of small components first
+            ahead[x] = False
+            y = np.flatnonzero(ahead & (group != group[x]) & (100 * np.minimum(n, n[x]) >= s.percent * np.maximum(n, n[x])))
+            if len(y):
+                y = y[may_link(np.full(len(y), n[x]), n[y], regs[x], regs[y], s)]
+            if not len(y):
+                continue
+            own = np.sort(flat[offsets[x]:offsets[x + 1]])
+            every = np.concatenate([flat[offsets[k]:offsets[k + 1]] for k in y])
+            hit = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+            shared = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(n[y])[:-1]]))
+            for k in y[100 * shared >= s.percent * (n[x] + n[y] - shared)]:
+                if group[k] != group[x]:
+                    out[0].append(min(ids[x], ids[k]))
+                    out[1].append(max(ids[x], ids[k]))
+                    group[group == group[k]] = group[x]
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
     return run
 
 
@@ -165,36 +212,51 @@ class NearDuplicates:
         bands = self.reps.select("id", F.explode(key).alias("key"))
         multi = put(bands.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
                     .where("leader != last").select("key", "leader", "n"), "buckets")
-        members = put(bands.join(small(multi, multi.count()), "key").where("n > 2 or id != leader"), "members")
-        pairs = members.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-        links = self._verified(pairs, "first")
+        members = bands.join(small(multi, multi.count()), "key").where("id != leader")
+        pairs = put(members.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+        links = self._verified(pairs)
         labels = connected_components(links)
-        more = members.where("n > 2").select("key", "id", "leader").join(labels, "id", "left").select("key", "id", "leader", F.coalesce("label", "id").alias("label"))
-        more = put(more, "open")
-        split = more.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-        more = put(more.join(small(split, split.count()), "key").where("id != leader"), "open_members")
-        other = more.select("key", F.col("id").alias("b"), F.col("label").alias("label_b"))
-        rest = more.select("key", F.col("id").alias("a"), "label").join(other, "key").where("a < b and label != label_b").select("a", "b").distinct()
-        late = self._verified(rest, "second")
+        late = self._between(pairs, labels)
         if late.limit(1).count():
             labels = connected_components(links.unionAll(late))
         self.labels = labels
 
-    def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
+    def _sets(self, ids: DataFrame, name: str) -> DataFrame:
+        """(id, set) of the given ids; only their texts are read on."""
+        texts = self.source.join(small(ids, ids.count()), "doc_id", "left_semi")
+        return self.scratch.put(texts.select(F.col("doc_id").alias("id"), shingles(F.col("text"), self.s.shingle).alias("set")), name)
+
+    def _between(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """Links (a, b) that join components whose members share a bucket's leader.
+
+        Members of one bucket share its leader, so all pairs of a bucket that
+        the leader does not connect meet in the leader's group. A group is
+        taken in blocks of ``block`` members, two at a time, and gives no more links than members.
+        """
+        s, put = self.s, self.scratch.put
+        named = put(pairs.join(labels.withColumnRenamed("id", "b"), "b", "left").select("a", "b", F.coalesce("label", "b").alias("label")), "labelled")
+        open_ = put(named.groupBy("a").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
+                    .where("x != y").select("a", F.ceil(F.col("n") / s.block).cast("int").alias("blocks")), "open")
+        named = put(named.join(small(open_, open_.count()), "a"), "open_members")
+        sets = self._sets(put(named.select(F.col("b").alias("doc_id")).distinct(), "open_ids"), "open_sets")
+        own = F.pmod(F.xxhash64("b"), "blocks").cast("int")
+        rows = named.join(sets.withColumnRenamed("id", "b"), "b").join(self.reps.select(F.col("id").alias("b"), "registers", "n_shingles"), "b")
+        rows = rows.where(F.size("set") == F.col("n_shingles")).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "b", "label", "registers", "set")
+        return put(rows.groupBy("a", "i", "j").applyInArrow(_join_components(s), "a bigint, b bigint").distinct(), "late_links")
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets are similar enough."""
         s, put = self.s, self.scratch.put
         a = self.reps.select(F.col("id").alias("a"), F.col("n_shingles").alias("n1"), F.col("registers").alias("r1"))
         b = self.reps.select(F.col("id").alias("b"), F.col("n_shingles").alias("n2"), F.col("registers").alias("r2"))
         both = pairs.join(a, "a").join(b, "b").where(100 * F.least("n1", "n2") >= s.percent * F.greatest("n1", "n2"))
-        likely = put(both.select("a", "b", "n1", "n2", "r1", "r2").mapInArrow(_likely(s), "a bigint, b bigint, estimate double")
-                     .groupBy("a", "b").agg(F.max("estimate").alias("estimate")), f"likely_{name}")
-        ids = put(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct(), f"ids_{name}")
-        texts = self.source.join(small(ids, ids.count()), "doc_id", "left_semi")
-        sets = put(texts.select(F.col("doc_id").alias("id"), shingles(F.col("text"), s.shingle).alias("set")), f"sets_{name}")
+        likely = put(both.select("a", "b", "n1", "n2", "r1", "r2").mapInArrow(_likely(s), "a bigint, b bigint").distinct(), "likely")
+        sets = self._sets(put(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct(), "ids"), "sets")
         one, two = sets.select(F.col("id").alias("a"), F.col("set").alias("s1")), sets.select(F.col("id").alias("b"), F.col("set").alias("s2"))
         found = likely.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("s1", "s2")))
         found = found.where(100 * F.col("shared") >= s.percent * (F.size("s1") + F.size("s2") - F.col("shared"))).select("a", "b").distinct()
-        return put(found, f"links_{name}")
+        return put(found, "links")
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept of every row. Ends the object: its tables are dropped."""
