@@ -118,7 +118,7 @@ def train(ids: np.ndarray, offsets: np.ndarray, y: np.ndarray, fm: Machine) -> d
             squares = np.bincount(own, weights=(x * x).sum(1), minlength=len(docs))
             s = model["w0"] + np.bincount(own, weights=model["w"][pick], minlength=len(docs)) + 0.5 * ((total ** 2).sum(1) - squares)
             err = weight[docs] * (1 / (1 + np.exp(-np.clip(s, -30, 30))) - y[docs])
-            d_w = np.bincount(pick, weights=err[own], minlength=len(terms))
+            d_w = np.bincount(pick, weights=err[own], minlength=len(terms)).astype(float)
             d_v = np.zeros_like(model["v"])
             np.add.at(d_v, pick, err[own][:, None] * (total[own] - x))
             used = np.unique(pick)
