@@ -117,8 +117,9 @@ def _head(buf: _Bytes) -> bool:
         while len(out) < 5 and not inflate.eof:
             if at >= len(buf.data) and not buf.more():
                 return False
-            out += inflate.decompress(buf.data[at:at + 512], HEADER_BYTES)
-            at += 512
+            chunk = buf.data[at:at + 512]
+            out += inflate.decompress(chunk, HEADER_BYTES)
+            at += len(chunk)
     except zlib.error:
         return False
     return out.startswith(b"WARC/")
