@@ -38,7 +38,7 @@ def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets - offsets[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most ``most`` list items (one row at least), so that a batch of long texts stays small."""
     for batch in batches:
         sizes = np.diff(batch.column(column).offsets.to_numpy(zero_copy_only=False).astype(np.int64))

@@ -45,7 +45,7 @@ class Passages:
 
     width: int = 35
     phrase: int = 12
-    shard: int = 4096
+    shard: int = 2048
 
 
 def word_ids(text: Column) -> Column:
