@@ -35,10 +35,13 @@ def history_window(history: DataFrame, as_of, days: int = DEFAULT_WINDOW_DAYS,
     """Rows with created_at >= as_of - N days (one model or all).
 
     The predicate is on the raw column, so it reaches the Parquet scan as a
-    pushed filter (and prunes ``dt`` partitions of a partitioned log).
+    pushed filter; a log partitioned by day ``dt`` is pruned by the same bound.
     """
     lower = as_of_ts(as_of) - F.make_interval(days=F.lit(days))
     out = history.where(F.col("created_at") >= lower)
+    if "dt" in history.columns:
+        day = lower.cast("date")
+        out = out.where(F.col("dt") >= (F.date_format(day, "yyyy-MM-dd") if dict(history.dtypes)["dt"] == "string" else day))
     if model_id is not None:
         out = out.where(F.col("model_id") == F.lit(model_id))
     return out

@@ -3,7 +3,8 @@
 ``kth_smallest`` finds, per group, the value of 0-based rank ``k`` among the
 non-null values of a numeric column. It never ranks a whole group: each
 pass splits the current candidate interval of every (group, k) into
-``buckets`` equal-width buckets, counts values per bucket with a hash
+``buckets`` buckets, of equal width and of equal ratio in turn, so that values over many
+magnitudes are told apart as well as close ones, counts values per bucket with a hash
 aggregate (map-side partial counts, tiny output), and keeps the one bucket
 that holds rank ``k``. The bucket function is monotone in the value, so the
 next interval is exactly [min, max] of that bucket. Once an interval is a
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 
 BUCKETS = 4096
 FINISH_ROWS = 50_000
-MAX_PASSES = 12
 # State tables (one row per group and rank) up to this size are broadcast
 # into each pass; larger ones are joined by shuffle.
 STATE_BROADCAST_ROWS = 500_000
@@ -37,6 +37,21 @@ def _maybe_broadcast(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= STATE_BROADCAST_ROWS else df
 
 
+def _scaled(v):
+    """A value's signed logarithm: never falls as the value grows; infinities and NaN (the largest) included."""
+    size = F.when(v == 0, F.lit(0.0)).when(F.isnan(v), F.lit(4000.0)).when(F.abs(v) == float("inf"), F.lit(2000.0)).otherwise(F.log(F.abs(v)) + 746.0)
+    return F.when(v < 0, -size).otherwise(size)
+
+
+def _share(v, lo, hi, by_ratio: bool):
+    """Where v lies between lo and hi, 0 to 1; never falls as v grows. An endless interval is always taken by ratio."""
+    plain = ~(F.isnan(hi) | (F.abs(hi) == float("inf")) | (F.abs(lo) == float("inf")))
+    width, ratio = hi / 2 - lo / 2, _scaled(hi) - _scaled(lo)
+    linear = F.when(width > 0, (v / 2 - lo / 2) / width).otherwise(F.when(v == hi, 1.0).otherwise(0.0))
+    scaled = F.when(ratio > 0, (_scaled(v) - _scaled(lo)) / ratio).otherwise(0.0)
+    return F.when(plain & F.lit(not by_ratio), linear).otherwise(scaled)
+
+
 def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks: DataFrame,
                  buckets: int = BUCKETS, finish_rows: int = FINISH_ROWS) -> DataFrame:
     """Per group and requested rank: the k-th smallest value.
@@ -59,7 +74,8 @@ def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks
         *g, "k", "_lo", "_hi", F.col("k").alias("_kr"), "_n")
     settled_flag = (F.col("_lo") == F.col("_hi")) | (F.col("_n") <= finish_rows)
     done_parts = []
-    for _ in range(MAX_PASSES):
+    turn = 0
+    while True:
         # The state is small; checkpointing it keeps each pass's lineage short.
         state = state.checkpoint(eager=True)
         done_parts.append(state.where(settled_flag))
@@ -68,9 +84,9 @@ def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks
         if n_active == 0:
             break
         a = _maybe_broadcast(active, n_active)
-        width = F.col("_hi") - F.col("_lo")
-        b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * F.lit(float(buckets))),
+        b = F.least(F.floor(_share(F.col("_v"), F.col("_lo"), F.col("_hi"), turn % 2 == 1) * F.lit(float(buckets))),
                     F.lit(buckets - 1)).cast("int")
+        turn += 1
         counts = (v.join(a, g, "inner")
                   .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
                   .groupBy(*g, "k", "_kr", b.alias("_b"))
@@ -81,8 +97,6 @@ def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks
         state = chosen.select(*g, "k", F.col("_mn").alias("_lo"), F.col("_mx").alias("_hi"),
                               (F.col("_kr") - (F.col("_cum") - F.col("_c"))).alias("_kr"),
                               F.col("_c").alias("_n"))
-    else:
-        raise RuntimeError("kth_smallest did not converge")
     settled = reduce(DataFrame.unionByName, done_parts)
     single = settled.where(F.col("_lo") == F.col("_hi")).select(
         *g, "k", F.col("_lo").alias("value"), F.col("_kr").alias("ties_before"))

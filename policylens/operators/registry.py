@@ -15,12 +15,23 @@ from pyspark.sql import functions as F
 from policylens.functions import exprs as X
 
 
-def register_state(events: DataFrame, seq: str = "model_id") -> DataFrame:
-    """G1: current registry state from registration events."""
-    last = events.where(F.col("activate")).agg(F.max(seq).alias("_last")).withColumn("_k", F.lit(1))
-    e = events.withColumn("_k", F.lit(1)).join(F.broadcast(last), "_k", "left")
-    return e.select("model_id", "model_name", "model_version",
-                    F.coalesce(F.col("activate") & (F.col(seq) == F.col("_last")), F.lit(False)).alias("is_active"))
+def _order(events: DataFrame, seq: str | None = None):
+    """What orders events: their time, then their sequence number, where present, then the id."""
+    return F.struct(*([seq] if seq else [c for c in ("created_at", "seq") if c in events.columns]), "model_id")
+
+
+def register_state(events: DataFrame, seq: str | None = None) -> DataFrame:
+    """G1: current registry state from registration events, one row per model.
+
+    Names and versions are those of a model's last event; the model of the
+    last activating event is active. ``seq`` names another ordering column.
+    """
+    at = _order(events, seq)
+    last = events.where(F.col("activate")).agg(F.max_by("model_id", at).alias("_last")).withColumn("_k", F.lit(1))
+    e = events.groupBy("model_id").agg(F.max_by(F.struct("model_name", "model_version"), at).alias("_e")).withColumn("_k", F.lit(1))
+    e = e.join(F.broadcast(last), "_k", "left")  # one row
+    return e.select("model_id", "_e.model_name", "_e.model_version",
+                    F.coalesce(F.col("model_id") == F.col("_last"), F.lit(False)).alias("is_active"))
 
 
 def active_model(state: DataFrame) -> DataFrame:
@@ -73,8 +84,9 @@ def model_id_by_version(versions: DataFrame, lookups: DataFrame, version_col: st
 
 
 def recent_versions(versions: DataFrame, limit: int = 10) -> DataFrame:
-    """Newest versions first, at most ``limit`` (a top-k report)."""
-    return versions.orderBy(F.col("model_version").desc()).limit(limit)
+    """Newest versions first, by their time where present, at most ``limit`` (a top-k report)."""
+    by = [c for c in ("created_at", "model_version", "model_id") if c in versions.columns]
+    return versions.orderBy(*[F.col(c).desc() for c in by]).limit(limit)
 
 
 def model_paths(versions: DataFrame, root: str = "models") -> DataFrame:

@@ -85,12 +85,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; that value is used as is.
-    Only when nothing is set (local tests) a scratch folder is made.
+    Only a local session without that setting gets a scratch folder of this
+    machine; elsewhere other machines could not see it, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith(("local[", "local-cluster[")) and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="policylens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():

@@ -5,8 +5,10 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from policylens.operators import explain as EX
@@ -99,3 +101,16 @@ def test_save_load_round_trip(spark, tmp_path):
 def test_explain_query_residuals(spark):
     rows = E.queries()["explain_predictions"](spark, SMOKE).collect()
     assert rows and max(abs(r["residual"]) for r in rows) < 1e-6
+
+
+def test_tune_with_other_fold_counts_and_unlimited_values(spark):
+    feats = spark.range(300).select(F.col("id").alias("policy_id"), (F.col("id") % 17).cast("double").alias("x"),
+                                    (F.col("id") % 5).cast("double").alias("y"))
+    prem = feats.select("policy_id", (F.col("x") * 3 + F.col("y")).alias("premium"))
+    for folds in (2, 5):
+        res = MD.tune(feats, prem, "decision_tree", {"max_depth": [2, None]}, folds=folds)
+        assert len(res["results"]) == 2 and res["best_params"]["maxDepth"] == MD.MAX_DEPTH_LIMIT
+    res = MD.tune(feats, prem, "random_forest", {"n_estimators": [3], "max_features": [None, "sqrt"]}, folds=2)
+    assert {r["params"]["featureSubsetStrategy"] for r in res["results"]} == {"all", "sqrt"}
+    with pytest.raises(ValueError):
+        MD.tune(feats, prem, "decision_tree", {"min_samples_split": [2, 5]}, folds=2)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from policylens.operators import quantiles as Q
 
@@ -52,3 +53,20 @@ def test_global_percentile(spark):
     df = spark.createDataFrame([(float(x),) for x in range(101)], "v double")
     r = Q.exact_percentiles(df, [], "v", [0.5, 0.9], ["m", "p90"]).first()
     assert (r["m"], r["p90"]) == (50.0, 90.0)
+
+
+def test_values_over_many_magnitudes(spark):
+    """Equal-width buckets alone would need a pass for every few magnitudes."""
+    df = spark.range(60_000).select(F.expr("power(10D, -(id % 300))").alias("v"))
+    got = Q.kth_smallest(df, [], "v", spark.createDataFrame([(10,), (30_000,), (59_999,)], "k long"), finish_rows=50)
+    want = sorted(10.0 ** -(k % 300) for k in range(60_000))
+    for r in got.collect():
+        assert abs(r["value"] / want[r["k"]] - 1) < 1e-12
+
+
+def test_endless_and_huge_values(spark):
+    values = [float("-inf"), -1.7e308, -1.0, 0.0, 5e-324, 1.0, 1.7e308, float("inf"), float("nan")] * 20
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = Q.kth_smallest(df, [], "v", spark.createDataFrame([(k,) for k in range(0, 180, 20)], "k long"), finish_rows=5)
+    found = [r["value"] for r in got.orderBy("k").collect()]
+    assert found[:8] == values[:8] and found[8] != found[8]

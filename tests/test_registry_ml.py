@@ -25,9 +25,7 @@ def test_train_register_and_activate(spark, tmp_path):
     t1 = MD.train_and_register(spark, feats, prem, str(tmp_path / "models"), reg, "decision_tree", maxDepth=3)
     path = MD.save(t1, str(tmp_path / "models2"))
     MD.register_existing(spark, path, reg, activate=False)
-    events = (spark.read.parquet(reg).withColumn("seq", F.row_number().over(
-        __import__("pyspark.sql.window", fromlist=["Window"]).Window.orderBy("created_at", "activate"))))
-    state = R.register_state(events, seq="seq")
+    state = R.register_state(spark.read.parquet(reg))
     active = R.active_model(state).collect()
     assert len(active) == 1 and active[0]["model_id"] == t1.name
     loaded = MD.load(path)
@@ -48,3 +46,12 @@ def test_ensemble_explanations(spark):
     assert abs(sum(e["weight"] for e in r["explanations"]) - 1.0) < 1e-12
     for e in r["explanations"]:
         assert abs(e["base_value"] + sum(f["contribution"] for f in e["features"]) - e["prediction"]) < 1e-6
+
+
+def test_state_follows_time_not_id(spark):
+    rows = [("random_forest_1", "random_forest", "1", True, "2025-01-01 00:00:00"), ("decision_tree_2", "decision_tree", "2", True, "2025-06-01 00:00:00"),
+            ("random_forest_1", "random_forest", "1b", False, "2025-07-01 00:00:00")]
+    events = spark.createDataFrame(rows, "model_id string, model_name string, model_version string, activate boolean, created_at string")
+    state = {r.model_id: (r.model_version, r.is_active) for r in R.register_state(events).collect()}
+    assert state == {"random_forest_1": ("1b", False), "decision_tree_2": ("2", True)}
+    assert R.recent_versions(events, 1).first().model_version == "1b"
