@@ -27,13 +27,18 @@ def _toy(spark, n=300):
     return VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="features").transform(df)
 
 
+def _goes_left(tree, j, x):
+    v, cats = x[tree["feature"][j]], tree["left_cats"][j]
+    return v in cats if cats is not None else v <= tree["threshold"][j]
+
+
 def _cond_exp(tree, x, S, j=0):
     if tree["left"][j] < 0:
         return tree["value"][j]
     d = tree["feature"][j]
     lft, rgt = tree["left"][j], tree["right"][j]
     if d in S:
-        return _cond_exp(tree, x, S, lft if EX._goes_left(tree, j, x) else rgt)
+        return _cond_exp(tree, x, S, lft if _goes_left(tree, j, x) else rgt)
     cv = tree["cover"]
     return (cv[lft] * _cond_exp(tree, x, S, lft) + cv[rgt] * _cond_exp(tree, x, S, rgt)) / cv[j]
 
@@ -53,11 +58,31 @@ def test_treeshap_equals_brute_force(spark):
     data = _toy(spark)
     dt = DecisionTreeRegressor(maxDepth=4, seed=1).fit(data)
     trees, weights = EX.extract_trees(dt, spark)
-    xs = [np.array(r["features"].toArray()) for r in data.limit(15).collect()]
-    for x in xs:
-        got = EX.shap_values(trees, weights, x)
-        want = _brute_shap(trees[0], x, 4)
-        assert np.allclose(got, want, atol=1e-9)
+    x = np.array([r["features"].toArray() for r in data.limit(15).collect()])
+    pred, got = EX.shap_values(trees, weights, x)
+    for row, p, phi in zip(x, pred, got):
+        assert np.allclose(phi, _brute_shap(trees[0], row, 4), atol=1e-9)
+        assert abs(p - _cond_exp(trees[0], row, {0, 1, 2, 3})) < 1e-9
+
+
+def test_treeshap_with_categories_repeated_features_and_an_unreached_leaf():
+    rnd = np.random.default_rng(5)
+    # A full tree of depth 5 over 4 features: features repeat on paths; node 2 splits on categories.
+    n, depth = 63, 5
+    tree = {"left": np.array([2 * i + 1 if i < 31 else -1 for i in range(n)]),
+            "right": np.array([2 * i + 2 if i < 31 else -1 for i in range(n)]),
+            "feature": np.array([int(rnd.integers(4)) if i < 31 else -1 for i in range(n)]),
+            "threshold": rnd.random(n), "value": rnd.normal(size=n), "cover": np.zeros(n), "left_cats": [None] * n}
+    tree["feature"][2], tree["left_cats"][2] = 3, {0.0, 2.0}
+    tree["cover"][31:] = rnd.integers(1, 50, 32)
+    tree["cover"][40] = 0
+    for i in range(30, -1, -1):
+        tree["cover"][i] = tree["cover"][2 * i + 1] + tree["cover"][2 * i + 2]
+    x = np.column_stack([rnd.random((20, 3)), rnd.integers(0, 3, 20)])
+    phi = np.zeros(x.shape)
+    EX.tree_shap(tree, x, phi)
+    for row, got in zip(x, phi):
+        assert np.allclose(got, _brute_shap(tree, row, 4), atol=1e-9)
 
 
 def test_treeshap_local_accuracy_distributed(spark):

@@ -46,6 +46,11 @@ def test_ensemble_explanations(spark):
     assert abs(sum(e["weight"] for e in r["explanations"]) - 1.0) < 1e-12
     for e in r["explanations"]:
         assert abs(e["base_value"] + sum(f["contribution"] for f in e["features"]) - e["prediction"]) < 1e-6
+        assert {f["name"] for f in e["features"]} == {"a", "b"} and all(f["value"] is not None for f in e["features"])
+    assert abs(r["ensemble_prediction"] - sum(e["weight"] * e["prediction"] for e in r["explanations"])) < 1e-9
+    preds = {k: v.select("policy_id", "prediction") for k, v in recs.items()}
+    none = EX.ensemble_explanations({"deep": recs["deep"].limit(0)}, {"shallow": 1.0, "deep": 3.0}, preds).first()
+    assert none["explanations"] is None and none["ensemble_prediction"] is None
 
 
 def test_state_follows_time_not_id(spark):
