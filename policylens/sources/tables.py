@@ -113,7 +113,8 @@ FROM supplier
 """
 
 # Pricing requests as they arrive: dates as text, enums in any case, some
-# unknown enum values and some impossible dates (rules keyed on policy_id).
+# unknown enum values, impossible dates, missing fields and values of the
+# wrong type (rules keyed on policy_id).
 FX_REQ_POLICY = """
 SELECT policy_id,
        CASE WHEN policy_id % 101 = 0 THEN '2001-13-01' ELSE CAST(effective_date AS STRING) END AS effective_date,
@@ -122,7 +123,8 @@ FROM fx_policy
 """
 
 FX_REQ_DRIVER = """
-SELECT policy_id,
+SELECT policy_id, 'First' AS first_name, 'Last' AS last_name, 'CA' AS license_state,
+       CASE WHEN policy_id % 89 <> 0 THEN CONCAT('L', CAST(policy_id AS STRING)) END AS license_number,
        CASE WHEN policy_id % 97 = 0 THEN '1990-02-30' ELSE CAST(date_of_birth AS STRING) END AS date_of_birth,
        CAST(license_issue_date AS STRING) AS license_issue_date,
        CASE WHEN policy_id % 11 = 0 THEN upper(gender) WHEN policy_id % 13 = 0 THEN 'unknown' ELSE gender END AS gender,
@@ -131,7 +133,8 @@ FROM fx_driver
 """
 
 FX_REQ_VEHICLE = """
-SELECT policy_id, make, model, year, value,
+SELECT policy_id, make, model, value, CASE WHEN policy_id % 83 <> 0 THEN CONCAT('V', CAST(policy_id AS STRING)) END AS vin,
+       CASE WHEN policy_id % 79 = 0 THEN 'new' ELSE CAST(year AS STRING) END AS year,
        CASE WHEN policy_id % 7 = 0 THEN upper(primary_use) WHEN policy_id % 23 = 0 THEN 'racing' ELSE primary_use END
          AS primary_use,
        annual_mileage, anti_theft_device
@@ -143,10 +146,16 @@ SELECT policy_id,
        CASE WHEN policy_id % 29 = 0 THEN 'speeding' WHEN policy_id % 3 = 0 THEN upper(incident_type) ELSE incident_type END
          AS incident_type,
        CAST(incident_date AS STRING) AS incident_date,
-       CASE WHEN policy_id % 31 = 0 THEN 'severe' ELSE severity END AS severity, claim_amount, at_fault
+       CASE WHEN policy_id % 31 = 0 THEN 'severe' ELSE severity END AS severity,
+       CASE WHEN policy_id % 73 = 0 THEN 'much' ELSE CAST(claim_amount AS STRING) END AS claim_amount, at_fault
 FROM fx_history
 """
 
+FX_REQ_LOCATION = """
+SELECT policy_id, '1 Main St' AS address_line1, 'Town' AS city, state, CASE WHEN policy_id % 71 <> 0 THEN zip_code END AS zip_code
+FROM fx_location
+"""
+
 FIXTURE_VIEWS = {
     "fx_policy": FX_POLICY,
     "fx_driver": FX_DRIVER,
@@ -162,6 +171,7 @@ FIXTURE_VIEWS = {
     "fx_req_driver": FX_REQ_DRIVER,
     "fx_req_vehicle": FX_REQ_VEHICLE,
     "fx_req_history": FX_REQ_HISTORY,
+    "fx_req_location": FX_REQ_LOCATION,
 }
 
 
@@ -249,4 +259,4 @@ class Fixtures:
     def request_tables(self) -> dict:
         return {"policies": self.view("fx_req_policy"), "drivers": self.view("fx_req_driver"),
                 "vehicles": self.view("fx_req_vehicle"), "history": self.view("fx_req_history"),
-                "locations": self.view("fx_location")}
+                "locations": self.view("fx_req_location")}
