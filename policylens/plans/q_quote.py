@@ -135,13 +135,20 @@ def q_group_factors(spark, sf_dir):
     return rounded(quote.group_factors(_scaled(fx), _importances(fx)), 2)
 
 
-@query("quote_batch")
+_ALL_FACTORS = [f"{g}_factor" for g in quote.GROUPS] + ["credit_factor", "insurance_factor", "territory_factor"]
+
+
+@query("quote_batch", oracle=rnd(_WITH_Q + f"""
+SELECT policy_id, base_premium, final_premium, {", ".join(_ALL_FACTORS)}
+FROM ({_QUOTE}) JOIN ({_GROUP_SQL}) USING (policy_id)""", ["base_premium", "final_premium", *_ALL_FACTORS], 2))
 def q_quote_batch(spark, sf_dir):
     """Features -> prediction -> group factors -> base -> final, as one job."""
     fx = fixtures(spark, sf_dir)
     p = _premiums(fx).select("policy_id", F.col("premium").alias("prediction"))
     gf = quote.group_factors(_scaled(fx), _importances(fx))
-    return quote.quote(p, fx.policies, gf).select("policy_id", "base_premium", "final_premium", "factors")
+    q = quote.quote(p, fx.policies, gf)
+    return rounded(q.select("policy_id", "base_premium", "final_premium",
+                            *[F.col("factors")[c].alias(c) for c in _ALL_FACTORS]), 2)
 
 
 @query("mean_abs", oracle=rnd(_WITH_Q + f"""
