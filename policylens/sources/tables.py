@@ -28,6 +28,7 @@ SELECT o_orderkey AS policy_id, CAST(o_orderdate AS DATE) AS effective_date,
 FROM orders
 """
 
+# Every line item gives its policy a driver, a vehicle, an incident and a location.
 FX_DRIVER = """
 SELECT l_orderkey AS policy_id,
        DATE '1925-01-01' + CAST(l_partkey * 131 % 21900 AS INT) AS date_of_birth,
@@ -36,7 +37,7 @@ SELECT l_orderkey AS policy_id,
        CASE l_suppkey % 5 WHEN 0 THEN 'single' WHEN 1 THEN 'married' WHEN 2 THEN 'divorced' WHEN 3 THEN 'widowed' END AS marital_status,
        CASE l_partkey % 9 WHEN 0 THEN 'Driver' WHEN 1 THEN 'Pilot' WHEN 2 THEN 'Teacher' WHEN 3 THEN 'Student' WHEN 4 THEN 'Engineer'
             WHEN 5 THEN 'Unemployed' WHEN 6 THEN 'Baker' WHEN 7 THEN 'Retired' END AS occupation
-FROM lineitem WHERE l_linenumber IN (1, 2)
+FROM lineitem
 """
 
 FX_VEHICLE = """
@@ -48,7 +49,7 @@ SELECT l_orderkey AS policy_id,
        CAST(1970 + l_partkey * 7 % 34 AS INT) AS year, l_extendedprice AS value,
        CASE l_suppkey % 3 WHEN 0 THEN 'personal' WHEN 1 THEN 'commute' ELSE 'business' END AS primary_use,
        CAST(l_partkey * 7919 % 25000 AS INT) AS annual_mileage, l_linestatus = 'F' AS anti_theft_device
-FROM lineitem WHERE l_linenumber IN (2, 3, 4)
+FROM lineitem
 """
 
 FX_HISTORY = """
@@ -57,7 +58,7 @@ SELECT l_orderkey AS policy_id,
        CAST(l_shipdate AS DATE) AS incident_date,
        CASE l_suppkey % 3 WHEN 0 THEN 'minor' WHEN 1 THEN 'moderate' ELSE 'major' END AS severity,
        CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice / 10 END AS claim_amount, l_linestatus = 'F' AS at_fault
-FROM lineitem WHERE l_linenumber IN (5, 6)
+FROM lineitem
 """
 
 FX_LOCATION = """
@@ -69,7 +70,7 @@ FROM orders
 UNION ALL
 SELECT l_orderkey, CASE l_suppkey % 4 WHEN 0 THEN 'NJ' WHEN 1 THEN 'MT' WHEN 2 THEN 'KS' ELSE 'DC' END,
        LPAD(CAST(l_suppkey * 6151 % 100000 AS STRING), 5, '0')
-FROM lineitem WHERE l_linenumber = 7
+FROM lineitem
 """
 
 FX_PRICING_HISTORY = """
