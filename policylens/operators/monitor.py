@@ -15,15 +15,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from policylens.functions import dims
 from policylens.operators.quantiles import kth_smallest
+from policylens.session import settle
 
 DEFAULT_WINDOW_DAYS = 30
 BIN_COUNT = 10
 PSI_FLOOR = 0.0001
-# (model, feature) bound tables up to this many rows are broadcast.
-BOUNDS_BROADCAST_ROWS = 1_000_000
 
 
 def as_of_ts(value) -> Column:
@@ -51,31 +51,45 @@ def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def _bcast(df: DataFrame, limit: int = BOUNDS_BROADCAST_ROWS) -> DataFrame:
-    n = df.count()
-    return F.broadcast(df) if n <= limit else df
+def _boundary_tie(ties: DataFrame, group: str, tie_col: str) -> DataFrame:
+    """(group, _tie): the id of rank ``_tb - 1`` among rows (group, tie_col, _tb) that share a timestamp.
+
+    An integer id is found by selection, its upper half first and then the
+    lower among the ids of that upper half (a double holds either exactly).
+    Ids of another type are ranked by a window.
+    """
+    if not isinstance(ties.schema[tie_col].dataType, T.IntegralType):
+        w = Window.partitionBy(group).orderBy(tie_col)
+        return ties.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == F.col("_tb")).select(
+            group, F.col(tie_col).alias("_tie"))
+    halves = ties.select(group, F.shiftright(F.col(tie_col).cast("long"), 32).alias("_high"),
+                         F.col(tie_col).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).alias("_low"))
+    ranks = ties.groupBy(group).agg((F.first("_tb") - 1).alias("k"))
+    high = kth_smallest(halves, [group], "_high", ranks).select(
+        group, F.col("value").cast("long").alias("_h"), F.col("ties_before").alias("k"))
+    low = kth_smallest(halves.join(high, group).where(F.col("_high") == F.col("_h")), [group], "_low", high)
+    return high.drop("k").join(low, group).select(
+        group, (F.shiftleft("_h", 32) + F.col("value").cast("long")).alias("_tie"))
 
 
 def period_split(history: DataFrame, group: str = "model_id", order_col: str = "created_at",
                  tie_col: str = "pricing_id") -> DataFrame:
     """Add ``period`` = 'reference' for the first n//2 rows of each group
-    in (order_col, tie_col) order, else 'current'."""
+    in (order_col, tie_col) order, else 'current'. ``tie_col`` is unique.
+
+    Only the boundary (one row per group) is computed and written; the rows
+    are classified by comparison wherever the result is read.
+    """
     h = history.withColumn("_t", _micros(F.col(order_col)))
     ranks = h.groupBy(group).agg((F.count(F.lit(1)) / 2).cast("long").alias("k"))
     cut = kth_smallest(h, [group], "_t", ranks).select(
-        group, F.col("value").alias("_cut"), F.col("ties_before").alias("_tb"))
-    j = h.join(_bcast(cut), group, "inner")
-    t = F.col("_t").cast("double")
-    ties = j.where(t == F.col("_cut"))
-    others = j.where(t != F.col("_cut"))
-    # Only rows sharing the boundary timestamp are ranked (by tie_col).
-    w = Window.partitionBy(group).orderBy(tie_col)
-    ties = ties.withColumn("period", F.when(F.row_number().over(w) <= F.col("_tb"), "reference")
-                           .otherwise("current"))
-    others = others.withColumn("period", F.when(t < F.col("_cut"), "reference").otherwise("current"))
-    # Every consumer (statistics, PSI bounds and bins, prediction drift)
-    # reads the split several times: write it once to the shared folder.
-    return ties.unionByName(others).drop("_t", "_cut", "_tb").checkpoint(eager=True)
+        group, F.col("value").cast("long").alias("_cut"), F.col("ties_before").alias("_tb"))
+    ties = h.select(group, "_t", tie_col).join(cut.where(F.col("_tb") > 0), group).where(
+        F.col("_t") == F.col("_cut")).select(group, tie_col, "_tb")
+    cut = settle(cut.join(_boundary_tie(ties, group, tie_col), group, "left").drop("_tb"), "cuts")
+    first = (F.col("_t") < F.col("_cut")) | ((F.col("_t") == F.col("_cut")) & (F.col(tie_col) <= F.col("_tie")))
+    return h.join(cut, group).withColumn(
+        "period", F.when(first, "reference").otherwise("current")).drop("_t", "_cut", "_tie")
 
 
 def period_bounds(split: DataFrame, group: str = "model_id") -> DataFrame:
@@ -136,9 +150,8 @@ def numeric_long(split: DataFrame) -> DataFrame:
     read that table instead of re-parsing the log (which also cuts lineage).
     """
     vals = feature_values(split).checkpoint(eager=True)
-    keep = numeric_features(vals)
-    # The key list is small; AQE broadcasts it at run time from its measured
-    # size (and keeps a shuffle join beyond the threshold).
+    # Written, so that its size in bytes decides the join: the values are not shuffled while the key list is small.
+    keep = settle(numeric_features(vals), "numeric-keys")
     return vals.join(keep, ["model_id", "feature"], "left_semi").select(
         "model_id", "period", "feature", "value")
 
@@ -179,7 +192,8 @@ def psi(long: DataFrame, bins: int = BIN_COUNT) -> DataFrame:
     """Population stability index per (model, feature)."""
     v = F.col("value")
     vals = long.where(v.isNotNull())
-    bounds = vals.groupBy("model_id", "feature").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    # As the key list above: the values meet their bounds without a shuffle while the bounds are small.
+    bounds = settle(vals.groupBy("model_id", "feature").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")), "bounds")
     b = bin_index(v, F.col("_lo"), F.col("_hi"), bins)
     counts = (vals.join(bounds, ["model_id", "feature"])
               .groupBy("model_id", "feature", b.alias("bin"))

@@ -26,15 +26,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from policylens.session import settle
+
 BUCKETS = 4096
 FINISH_ROWS = 50_000
-# State tables (one row per group and rank) up to this size are broadcast
-# into each pass; larger ones are joined by shuffle.
-STATE_BROADCAST_ROWS = 500_000
-
-
-def _maybe_broadcast(df: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(df) if n <= STATE_BROADCAST_ROWS else df
 
 
 def _scaled(v):
@@ -76,18 +71,16 @@ def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks
     done_parts = []
     turn = 0
     while True:
-        # The state is small; checkpointing it keeps each pass's lineage short.
-        state = state.checkpoint(eager=True)
+        # One row per group and rank; written, so that lineage is cut and its size in bytes decides how it is joined.
+        state = settle(state, "ranks")
         done_parts.append(state.where(settled_flag))
         active = state.where(~settled_flag)
-        n_active = active.count()
-        if n_active == 0:
+        if active.isEmpty():
             break
-        a = _maybe_broadcast(active, n_active)
         b = F.least(F.floor(_share(F.col("_v"), F.col("_lo"), F.col("_hi"), turn % 2 == 1) * F.lit(float(buckets))),
                     F.lit(buckets - 1)).cast("int")
         turn += 1
-        counts = (v.join(a, g, "inner")
+        counts = (v.join(active, g, "inner")
                   .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
                   .groupBy(*g, "k", "_kr", b.alias("_b"))
                   .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")))
@@ -101,16 +94,15 @@ def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks
     single = settled.where(F.col("_lo") == F.col("_hi")).select(
         *g, "k", F.col("_lo").alias("value"), F.col("_kr").alias("ties_before"))
     small = settled.where(F.col("_lo") != F.col("_hi"))
-    n_small = small.count()
     # Rank the at most ``finish_rows`` values left in each small interval.
-    rows = (v.join(_maybe_broadcast(small, n_small), g, "inner")
+    rows = (v.join(small, g, "inner")
             .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
     wr = Window.partitionBy(*g, "k").orderBy("_v")
     ranked = rows.select(*g, "k", "_kr", "_v", (F.row_number().over(wr) - 1).alias("_rn"),
                          (F.rank().over(wr) - 1).alias("_less"))
     picked = ranked.where(F.col("_rn") == F.col("_kr")).select(
         *g, "k", F.col("_v").alias("value"), (F.col("_kr") - F.col("_less")).alias("ties_before"))
-    out = single.unionByName(picked).checkpoint(eager=True)
+    out = settle(single.unionByName(picked), "ranked")
     v.unpersist()
     return out
 

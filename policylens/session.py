@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC so dates and timestamps agree with the
 # warehouse tables, AQE so shuffle partition counts and skewed joins are
@@ -99,3 +101,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    This cuts lineage, and the planner then knows the table's size in bytes:
+    it is broadcast below ``spark.sql.autoBroadcastJoinThreshold``, before
+    anything is shuffled, and joined by shuffle beyond.
+    """
+    path = os.path.join(checkpoint_dir(df.sparkSession), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

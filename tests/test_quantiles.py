@@ -70,3 +70,19 @@ def test_endless_and_huge_values(spark):
     got = Q.kth_smallest(df, [], "v", spark.createDataFrame([(k,) for k in range(0, 180, 20)], "k long"), finish_rows=5)
     found = [r["value"] for r in got.orderBy("k").collect()]
     assert found[:8] == values[:8] and found[8] != found[8]
+
+
+def test_period_split_of_equal_timestamps(spark):
+    from policylens.operators import monitor as M
+    base = spark.range(200_001).select(F.lit("m").alias("model_id"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("created_at"),
+                                       ((F.col("id") * 7919) % 200_001 * (1 << 45) - (1 << 62)).alias("pricing_id"))
+    other = spark.range(5).select(F.lit("n").alias("model_id"), F.timestamp_seconds(F.col("id") * 0 + 5).alias("created_at"),
+                                  F.col("id").alias("pricing_id"))
+    split = M.period_split(base.unionByName(other)).persist()
+    n = {(r.model_id, r.period): r["count"] for r in split.groupBy("model_id", "period").count().collect()}
+    assert n == {("m", "reference"): 100_000, ("m", "current"): 100_001, ("n", "reference"): 2, ("n", "current"): 3}
+    ends = split.where("model_id = 'm'").groupBy("period").agg(F.min("pricing_id").alias("a"), F.max("pricing_id").alias("b")).collect()
+    ends = {r.period: (r.a, r.b) for r in ends}
+    assert ends["reference"][1] < ends["current"][0]
+    text = M.period_split(other.withColumn("pricing_id", F.col("pricing_id").cast("string")))
+    assert {r.pricing_id for r in text.where("period = 'reference'").collect()} == {"0", "1"}
