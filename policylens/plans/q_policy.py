@@ -338,7 +338,9 @@ LEFT JOIN ({_mode_sql(_L_ET_FRAME, 'c', 'location_enhanced_territory_mode')}) lm
 
 # value x depreciation has up to 5 decimals; its mean over <= 13 vehicles ends
 # by the 8th, so 8 places is exact there and free of rounding ties.
-_EPF_DIGITS = {f"vehicle_depreciated_value_{s}": 8 for s in ("mean", "max", "min")}
+# Means that can end exactly half way at six places (of up to eight rows) are compared at eight.
+_EPF_DIGITS = {f"{c}_{s}": 8 for c in ("vehicle_depreciated_value", "location_location_combined_risk")
+               for s in ("mean", "max", "min")}
 
 
 @query("policy_features_enhanced", oracle=rnd(_EPF_SQL, _EPF_DOUBLES, per_col=_EPF_DIGITS))
