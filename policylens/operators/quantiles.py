@@ -47,6 +47,11 @@ def _share(v, lo, hi, by_ratio: bool):
     return F.when(plain & F.lit(not by_ratio), linear).otherwise(scaled)
 
 
+def bucket_of(v, lo, hi, by_ratio: bool, buckets: int = BUCKETS):
+    """The bucket of v, 0 to buckets - 1; lo and hi, where they differ, are never in one bucket of a linear turn."""
+    return F.least(F.floor(_share(v, lo, hi, by_ratio) * F.lit(float(buckets))), F.lit(buckets - 1)).cast("int")
+
+
 def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks: DataFrame,
                  buckets: int = BUCKETS, finish_rows: int = FINISH_ROWS) -> DataFrame:
     """Per group and requested rank: the k-th smallest value.
@@ -77,8 +82,7 @@ def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks
         active = state.where(~settled_flag)
         if active.isEmpty():
             break
-        b = F.least(F.floor(_share(F.col("_v"), F.col("_lo"), F.col("_hi"), turn % 2 == 1) * F.lit(float(buckets))),
-                    F.lit(buckets - 1)).cast("int")
+        b = bucket_of(F.col("_v"), F.col("_lo"), F.col("_hi"), turn % 2 == 1, buckets)
         turn += 1
         counts = (v.join(active, g, "inner")
                   .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))

@@ -1,7 +1,7 @@
 """Feature scaling and the saved feature spec.
 
 A fitted scaler is a small set of per-column numbers (one row of
-statistics), computed by one aggregate over all columns; applying it is
+statistics), computed by aggregates over all columns; applying it is
 plain column arithmetic. The spec (ordered names, vocabularies, centre and
 scale per column) is what a trained model needs to transform new policies
 exactly as at fit time.
@@ -10,12 +10,20 @@ exactly as at fit time.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from policylens.operators.quantiles import exact_percentiles
+from policylens.operators.quantiles import BUCKETS, bucket_of
+from policylens.session import settle
 
 
 @dataclass
@@ -51,22 +59,61 @@ def fit_standard(df: DataFrame, cols: list[str]) -> FeatureSpec:
     return FeatureSpec(names=list(cols), center=center, scale=scale, method="standard")
 
 
-def fit_robust(df: DataFrame, cols: list[str], key: str = "policy_id") -> FeatureSpec:
-    """X11 fit: median and IQR per column (exact, linear interpolation); IQR 0 -> 1.
+def _sql_double(x: float) -> str:
+    return f"double('{x}')" if x != x or x in (float("inf"), float("-inf")) else f"{x!r}D"
 
-    Columns are stacked into (feature, value) rows and all quantiles are
-    found by one distributed selection grouped by feature.
+
+def wide_percentiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = BUCKETS) -> dict[str, list[float]]:
+    """Exact percentiles (linear interpolation) of many columns of a wide table; a column without values has none.
+
+    Each pass reads the rows once, counts every column's values in the
+    buckets of its open intervals by one hash aggregate, combined before the
+    shuffle, and keeps the buckets that hold a rank. The ends of a bucket are values, so
+    an interval shrinks until it is one value. Only intervals
+    (at most two for a column and percentile) are held by the driver.
     """
-    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), _q(c).cast("double").alias("value"))
-                                            for c in cols])).alias("_s")).select("_s.feature", "_s.value")
-    q = exact_percentiles(stacked, ["feature"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"]).collect()
-    stats = {r["feature"]: r for r in q}
+    row = df.selectExpr(*[x for i, c in enumerate(cols) for x in (
+        f"count(`{c}`) n{i}", f"min(CAST(`{c}` AS DOUBLE)) a{i}", f"max(CAST(`{c}` AS DOUBLE)) b{i}")]).first()
+    n = {i: row[f"n{i}"] for i in range(len(cols)) if row[f"n{i}"]}
+    places = {(i, k) for i in n for p in probs for k in (math.floor(p * (n[i] - 1)), math.ceil(p * (n[i] - 1)))}
+    # interval (column, low, high) -> [(rank in the column, rank in the interval)]
+    intervals = {(i, row[f"a{i}"], row[f"b{i}"]): [(k, k) for j, k in sorted(places) if j == i] for i in n}
+    value: dict[tuple[int, int], float] = {}
+    turn = 0
+    while True:
+        for (i, low, high), ranks in intervals.items():
+            if low == high or low != low:
+                value.update({(i, k): low for k, _ in ranks})
+        open_ = [(at, ranks) for at, ranks in intervals.items() if not (at[1] == at[2] or at[1] != at[1])]
+        if not open_:
+            break
+        cells = ", ".join(f"named_struct('s', {s}, 'v', CAST(`{cols[i]}` AS DOUBLE), 'lo', {_sql_double(low)}, 'hi', {_sql_double(high)})"
+                          for s, ((i, low, high), _) in enumerate(open_))
+        inside = df.selectExpr(f"inline(array({cells}))").where("v >= lo AND v <= hi")
+        counts = inside.groupBy("s", bucket_of(F.col("v"), F.col("lo"), F.col("hi"), turn % 2 == 1, buckets).alias("b")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
+        upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy("s").orderBy("b")))
+        asked = df.sparkSession.createDataFrame([(s, k, kr) for s, (_, ranks) in enumerate(open_) for k, kr in ranks], "s int, k long, kr long")
+        found = upto.join(F.broadcast(asked), "s").where("kr < upto AND kr >= upto - c").selectExpr("s", "k", "low", "high", "kr - (upto - c) AS kr")
+        intervals = {}
+        for r in found.collect():
+            intervals.setdefault((open_[r["s"]][0][0], r["low"], r["high"]), []).append((r["k"], r["kr"]))
+        turn += 1
+    out = {}
+    for i, count in n.items():
+        at = [p * (count - 1) for p in probs]
+        ends = [(value[i, math.floor(x)], value[i, math.ceil(x)], x - math.floor(x)) for x in at]
+        out[cols[i]] = [low if low == high else low + share * (high - low) for low, high, share in ends]
+    return out
+
+
+def fit_robust(df: DataFrame, cols: list[str]) -> FeatureSpec:
+    """X11 fit: median and IQR per column (exact, linear interpolation); IQR 0 -> 1. The rows are read once a pass."""
+    stats = wide_percentiles(df, cols, [0.25, 0.5, 0.75])
     center, scale = {}, {}
     for c in cols:
-        r = stats.get(c)
-        center[c] = float(r["median"]) if r else 0.0
-        iqr = (float(r["q3"]) - float(r["q1"])) if r else 0.0
-        scale[c] = iqr if iqr != 0 else 1.0
+        q1, center[c], q3 = stats.get(c, (0.0, 0.0, 0.0))
+        scale[c] = q3 - q1 if q3 != q1 else 1.0
     return FeatureSpec(names=list(cols), center=center, scale=scale, method="robust")
 
 
@@ -86,12 +133,72 @@ def transform(df: DataFrame, spec: FeatureSpec, keep=("policy_id",)) -> DataFram
     return a.select(*out)
 
 
+def _narrow(df: DataFrame, cols: list[str], keep) -> DataFrame:
+    """The rows to scale, written once, so that fitting and scaling do not compute the features again."""
+    return settle(df.select(*[k for k in keep if k in df.columns], *[_q(c) for c in cols]), "features")
+
+
 def standard_scale(df: DataFrame, cols: list[str], keep=("policy_id",)) -> DataFrame:
-    return transform(df, fit_standard(df, cols), keep)
+    rows = _narrow(df, cols, keep)
+    return transform(rows, fit_standard(rows, cols), keep)
 
 
 def robust_scale(df: DataFrame, cols: list[str], keep=("policy_id",)) -> DataFrame:
-    return transform(df, fit_robust(df, cols), keep)
+    rows = _narrow(df, cols, keep)
+    return transform(rows, fit_robust(rows, cols), keep)
+
+
+class _Scaled(HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """What the scaler and its fitted model share: the feature columns and the vector column."""
+
+
+class FeatureScaler(Estimator, _Scaled):
+    """X13 as an ML estimator: fits a ``FeatureSpec`` on ``inputCols``, for use in a ``Pipeline``.
+
+    method: "standard" or "robust". vocabulary: JSON of the encoders' categories, kept in the spec.
+    """
+
+    method = Param(Params._dummy(), "method", "standard or robust", TypeConverters.toString)
+    vocabulary = Param(Params._dummy(), "vocabulary", "JSON of the encoders' categories", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCol="features", method="standard", vocabulary="{}"):
+        super().__init__()
+        self._setDefault(outputCol="features", method="standard", vocabulary="{}")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "FeatureScalerModel":
+        method = self.getOrDefault(self.method)
+        if method not in ("standard", "robust"):
+            raise ValueError(f"unknown scaling method: {method}")
+        spec = (fit_robust if method == "robust" else fit_standard)(dataset, self.getInputCols())
+        spec.vocabulary = json.loads(self.getOrDefault(self.vocabulary))
+        return FeatureScalerModel(inputCols=self.getInputCols(), outputCol=self.getOutputCol(), spec=spec.to_json())
+
+
+class FeatureScalerModel(Model, _Scaled):
+    """A fitted spec as an ML model: adds the scaled features as a vector, in the frozen order.
+
+    A column that the rows lack counts as 0 (P1), a null value is NaN in the vector.
+    """
+
+    spec = Param(Params._dummy(), "spec", "JSON of the fitted FeatureSpec", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCol="features", spec="{}"):
+        super().__init__()
+        self._setDefault(outputCol="features")
+        self._set(**self._input_kwargs)
+
+    @property
+    def feature_spec(self) -> FeatureSpec:
+        return FeatureSpec.from_json(self.getOrDefault(self.spec))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        spec, have = self.feature_spec, set(dataset.columns)
+        cells = ", ".join("coalesce(({} - {}) / {}, double('NaN'))".format(
+            f"CAST(`{c}` AS DOUBLE)" if c in have else "0.0D", _sql_double(spec.center[c]), _sql_double(spec.scale[c])) for c in spec.names)
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(F.expr(f"array({cells})")))
 
 
 def assemble(df: DataFrame, names: list[str], out: str = "features") -> DataFrame:
