@@ -74,17 +74,17 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
         .alias("upper"), F.coalesce(F.col("count"), F.lit(0)).alias("count"))
 
 
-def mean_abs(long: DataFrame, key: str = "feature", value: str = "contribution") -> DataFrame:
-    """Mean absolute value per feature."""
-    return long.groupBy(key).agg(F.avg(F.abs(F.col(value))).alias("mean_abs"))
+def mean_abs(long: DataFrame, *by: str, value: str = "contribution") -> DataFrame:
+    """Mean absolute value per feature (and the columns ``by``)."""
+    return long.groupBy(*by, "feature").agg(F.avg(F.abs(F.col(value))).alias("mean_abs"))
 
 
-def top_by_mean_abs(long: DataFrame, k: int = 20) -> DataFrame:
-    """The k features with the largest mean |contribution|, listed ascending."""
-    m = mean_abs(long)
-    top = m.orderBy(F.col("mean_abs").desc(), F.col("feature")).limit(k)
-    w = Window.orderBy("mean_abs", F.col("feature").desc())
-    return top.withColumn("position", F.row_number().over(w))
+def top_by_mean_abs(long: DataFrame, k: int = 20, by: str = "model_id") -> DataFrame:
+    """Per model, the k features with the largest mean |contribution|, listed ascending."""
+    w = Window.partitionBy(by)  # one row per feature
+    m = mean_abs(long, by).withColumn("_place", F.row_number().over(w.orderBy(F.col("mean_abs").desc(), "feature")))
+    top = m.where(F.col("_place") <= k)
+    return top.withColumn("position", F.row_number().over(w.orderBy(F.col("_place").desc()))).drop("_place")
 
 
 def sort_by_abs(arr: Column, field: str = "contribution") -> Column:

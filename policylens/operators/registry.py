@@ -108,12 +108,9 @@ def latest_model(paths: DataFrame) -> DataFrame:
 
 
 def importance_rows(importance: DataFrame) -> DataFrame:
-    """One row per (model, feature); duplicate writes summed, then
-    normalised so each model's importances sum to 1."""
-    s = importance.groupBy("model_id", "feature_name").agg(F.sum("importance").alias("_imp"))
-    tot = s.groupBy("model_id").agg(F.sum("_imp").alias("_tot"))
-    return s.join(tot, "model_id").select("model_id", "feature_name",
-                                          (F.col("_imp") / F.col("_tot")).alias("importance"))
+    """One row per (model, feature) with its value as given; where it was written twice
+    (which J10 reports) the later row, with the higher feature_id, wins."""
+    return importance.groupBy("model_id", "feature_name").agg(F.max_by("importance", "feature_id").alias("importance"))
 
 
 def top_features(importance: DataFrame, k: int = 20) -> DataFrame:

@@ -5,20 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from policylens.operators import features, metrics, quote, rating, registry, scaling
-from policylens.plans.catalog import fixtures, query, rnd, rounded
+from policylens.plans.catalog import fixtures, query, rnd, round_half_away, rounded
 from policylens.plans.q_features import (_SQL_PREMIUM, _SQL_RATE_D, _SQL_RATE_H, _SQL_RATE_L, _SQL_RATE_V, _WITH_ALL,
                                          AS_OF)
 from policylens.plans.q_policy import _PF_DOUBLES, _PF_SQL, vocab_for
+from policylens.plans.q_registry import _IMP_SQL
 from policylens.sources.tables import with_clause
 
-# Features that carry importance in the registry fixture, in policy-row order.
-IMP_FEATURES = ["num_drivers", "vehicle_per_driver_ratio", "driver_driver_age_mean", "driver_occupation_risk_max",
-                "vehicle_vehicle_value_mean", "vehicle_annual_mileage_min", "accident_count", "total_claim_amount",
-                "years_since_last_incident", "location_crime_rate_mean", "location_traffic_density_max",
-                "credit_score"]
-EXPLAIN_MODEL = 0
-
-
 def _premiums(fx):
     return rating.rate_policy(fx.policies, fx.drivers, fx.vehicles, fx.history, fx.locations, AS_OF)
 
@@ -28,24 +21,32 @@ def _policy_features(fx):
                                     vocab_for(fx), AS_OF)
 
 
-def _importances(fx, model_id=EXPLAIN_MODEL) -> dict[str, float]:
-    """The model's importance vector (bounded by the feature count)."""
-    rows = registry.importance_rows(fx.importances).where(F.col("model_id") == model_id).collect()
-    return {r["feature_name"]: float(r["importance"]) for r in rows}
+def _importances(fx) -> dict[int, dict[str, float]]:
+    """Every registered model's importance vector (bounded by models and features)."""
+    out: dict[int, dict[str, float]] = {}
+    for r in registry.importance_rows(fx.importances).collect():
+        out.setdefault(r["model_id"], {})[r["feature_name"]] = float(r["importance"])
+    return out
 
 
 def _scaled(fx):
     pf = _policy_features(fx)
-    return scaling.standard_scale(pf, IMP_FEATURES)
+    return scaling.standard_scale(pf, features.feature_names(pf))
+
+
+def _contribution_arrays(fx):
+    """(model_id, policy_id, items): each policy's contributions under every model, as an array by feature name."""
+    scaled = _scaled(fx)
+    each = []
+    for m, imp in sorted(_importances(fx).items()):
+        items = [F.struct(F.lit(n).alias("feature"), (F.col(n) * F.lit(w)).alias("contribution"))
+                 for n, w in sorted(imp.items()) if n in scaled.columns]
+        each.append(F.struct(F.lit(m).alias("model_id"), F.array(*items).alias("items")))
+    return scaled.select("policy_id", F.inline(F.array(*each)))
 
 
 def _contributions(fx):
-    imp = _importances(fx)
-    s = _scaled(fx)
-    names = [n for n in IMP_FEATURES if n in imp]
-    arr = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(i).alias("pos"),
-                             (F.col(n) * F.lit(imp[n])).alias("contribution")) for i, n in enumerate(names)])
-    return s.select("policy_id", F.explode(arr).alias("_c")).select("policy_id", "_c.*")
+    return _contribution_arrays(fx).select("model_id", "policy_id", F.inline("items"))
 
 
 # ---- oracle pieces ---------------------------------------------------------------------
@@ -66,15 +67,12 @@ FROM (SELECT q.policy_id, q.prediction, {_BASE} AS base_premium, CAST({_CREDIT}
              CAST({_INSUR} AS DOUBLE) AS insurance_factor, NULLIF(p.territory_factor, 0) AS territory_factor
       FROM ({_PRED}) q LEFT JOIN fx_policy p USING (policy_id))"""
 
-_IMP_SQL = f"""SELECT feature_name AS feature, imp / sum(imp) OVER () AS importance
-FROM (SELECT feature_name, sum(importance) AS imp FROM fx_importance WHERE model_id = {EXPLAIN_MODEL} GROUP BY 1)"""
 _SCALED_SQL = "SELECT policy_id, " + ", ".join(
     f'("{c}" - avg("{c}") OVER ()) / COALESCE(NULLIF(stddev_pop("{c}") OVER (), 0), 1) AS "{c}"'
-    for c in IMP_FEATURES) + f" FROM ({_PF_SQL})"
-_POS = ", ".join(f"('{n}', {i})" for i, n in enumerate(IMP_FEATURES))
-_CONTRIB_SQL = f"""SELECT u.policy_id, u.feature, o.pos, u.v * i.importance AS contribution
-FROM (UNPIVOT ({_SCALED_SQL}) ON {", ".join(f'"{c}"' for c in IMP_FEATURES)} INTO NAME feature VALUE v) u
-JOIN ({_IMP_SQL}) i USING (feature) JOIN (VALUES {_POS}) o(feature, pos) USING (feature)"""
+    for c in _PF_DOUBLES) + f" FROM ({_PF_SQL})"
+_CONTRIB_SQL = f"""SELECT i.model_id, u.policy_id, u.feature, u.v * i.importance AS contribution
+FROM (UNPIVOT ({_SCALED_SQL}) ON {", ".join(f'"{c}"' for c in _PF_DOUBLES)} INTO NAME feature VALUE v) u
+JOIN ({_IMP_SQL}) i ON u.feature = i.feature_name"""
 _WITH_Q = with_clause("fx_policy", "fx_driver", "fx_vehicle", "fx_history", "fx_location", "fx_importance")
 
 
@@ -111,18 +109,18 @@ def q_quote_factors(spark, sf_dir):
                             F.array_join(F.array_sort(F.map_keys("factors")), ",").alias("factor_keys")))
 
 
-_GROUP_SQL = f"""SELECT policy_id,
+_GROUP_SQL = f"""SELECT model_id, policy_id,
   CASE WHEN t > 0 THEN d / t ELSE 0.25 END AS driver_factor, CASE WHEN t > 0 THEN v / t ELSE 0.25 END AS vehicle_factor,
   CASE WHEN t > 0 THEN h / t ELSE 0.25 END AS history_factor, CASE WHEN t > 0 THEN l / t ELSE 0.25 END AS location_factor
-FROM (SELECT policy_id, d, v, h, l, d + v + h + l AS t FROM (
-  SELECT policy_id,
+FROM (SELECT *, d + v + h + l AS t FROM (
+  SELECT model_id, policy_id,
     COALESCE(sum(contribution) FILTER (WHERE feature LIKE 'driver\\_%' ESCAPE '\\'), 0) AS d,
     COALESCE(sum(contribution) FILTER (WHERE feature LIKE 'vehicle\\_%' ESCAPE '\\'), 0) AS v,
     COALESCE(sum(contribution) FILTER (WHERE feature IN ('accident_count', 'violation_count', 'claim_count',
       'at_fault_count', 'total_claim_amount', 'years_since_last_incident', 'incident_severity_score')), 0) AS h,
     COALESCE(sum(contribution) FILTER (WHERE feature LIKE 'location\\_%' ESCAPE '\\'
       OR feature IN ('crime_rate', 'weather_risk', 'traffic_density')), 0) AS l
-  FROM ({_CONTRIB_SQL}) GROUP BY policy_id))"""
+  FROM ({_CONTRIB_SQL}) GROUP BY model_id, policy_id))"""
 
 
 # Shares divide by the group total, which can nearly cancel for a policy; two
@@ -130,63 +128,58 @@ FROM (SELECT policy_id, d, v, h, l, d + v + h + l AS t FROM (
 @query("group_factors", oracle=rnd(_WITH_Q + _GROUP_SQL,
                                    ["driver_factor", "vehicle_factor", "history_factor", "location_factor"], 2))
 def q_group_factors(spark, sf_dir):
-    """M7: per-policy group shares of scaled value x importance (model 0)."""
+    """M7: group shares of scaled value x importance of every policy under every registered model."""
     fx = fixtures(spark, sf_dir)
-    return rounded(quote.group_factors(_scaled(fx), _importances(fx)), 2)
+    return rounded(quote.group_factors_by_model(_scaled(fx), _importances(fx)), 2)
 
 
 _ALL_FACTORS = [f"{g}_factor" for g in quote.GROUPS] + ["credit_factor", "insurance_factor", "territory_factor"]
 
 
 @query("quote_batch", oracle=rnd(_WITH_Q + f"""
-SELECT policy_id, base_premium, final_premium, {", ".join(_ALL_FACTORS)}
+SELECT model_id, policy_id, base_premium, final_premium, {", ".join(_ALL_FACTORS)}
 FROM ({_QUOTE}) JOIN ({_GROUP_SQL}) USING (policy_id)""", ["base_premium", "final_premium", *_ALL_FACTORS], 2))
 def q_quote_batch(spark, sf_dir):
     """Features -> prediction -> group factors -> base -> final, as one job."""
     fx = fixtures(spark, sf_dir)
     p = _premiums(fx).select("policy_id", F.col("premium").alias("prediction"))
-    gf = quote.group_factors(_scaled(fx), _importances(fx))
-    q = quote.quote(p, fx.policies, gf)
-    return rounded(q.select("policy_id", "base_premium", "final_premium",
+    gf = quote.group_factors_by_model(_scaled(fx), _importances(fx))
+    q = quote.quote(gf.join(p, "policy_id"), fx.policies, grouped=True, keep=("model_id",))
+    return rounded(q.select("model_id", "policy_id", "base_premium", "final_premium",
                             *[F.col("factors")[c].alias(c) for c in _ALL_FACTORS]), 2)
 
 
 @query("mean_abs", oracle=rnd(_WITH_Q + f"""
-SELECT feature, avg(abs(contribution)) AS mean_abs FROM ({_CONTRIB_SQL}) GROUP BY 1""", ["mean_abs"]))
+SELECT model_id, feature, avg(abs(contribution)) AS mean_abs FROM ({_CONTRIB_SQL}) GROUP BY 1, 2""", ["mean_abs"]))
 def q_mean_abs(spark, sf_dir):
-    """Mean |contribution| per feature."""
-    return rounded(metrics.mean_abs(_contributions(fixtures(spark, sf_dir))))
+    """Mean |contribution| per model and feature."""
+    return rounded(metrics.mean_abs(_contributions(fixtures(spark, sf_dir)), "model_id"))
 
 
 @query("top_contributions", oracle=rnd(_WITH_Q + f"""
-SELECT feature, mean_abs, row_number() OVER (ORDER BY mean_abs, feature DESC) AS position FROM (
-  SELECT feature, avg(abs(contribution)) AS mean_abs FROM ({_CONTRIB_SQL}) GROUP BY 1
-  ORDER BY mean_abs DESC, feature LIMIT 5)""", ["mean_abs"]))
+SELECT model_id, feature, mean_abs, row_number() OVER (PARTITION BY model_id ORDER BY place DESC) AS position FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY mean_abs DESC, feature) AS place FROM (
+    SELECT model_id, feature, avg(abs(contribution)) AS mean_abs FROM ({_CONTRIB_SQL}) GROUP BY 1, 2))
+WHERE place <= 5""", ["mean_abs"]))
 def q_top_contributions(spark, sf_dir):
-    """The 5 features with the largest mean |contribution|, ascending."""
+    """Per model, the 5 features with the largest mean |contribution|, ascending."""
     t = metrics.top_by_mean_abs(_contributions(fixtures(spark, sf_dir)), 5)
     return rounded(t.withColumn("position", F.col("position").cast("long")))
 
 
 @query("contribution_sort", oracle=_WITH_Q + f"""
-SELECT policy_id, string_agg(feature, ',' ORDER BY abs(contribution) DESC, pos) AS features_by_impact
-FROM ({_CONTRIB_SQL}) GROUP BY 1""")
+SELECT model_id, policy_id, string_agg(feature, ',' ORDER BY round(abs(contribution), 4) DESC, feature) AS features_by_impact
+FROM ({_CONTRIB_SQL}) GROUP BY 1, 2""")
 def q_contribution_sort(spark, sf_dir):
-    """Each policy's features ordered by |contribution| (stable on ties)."""
-    c = _contributions(fixtures(spark, sf_dir))
-    arr = c.groupBy("policy_id").agg(F.array_sort(F.collect_list(F.struct("pos", "feature", "contribution")))
-                                     .alias("_a"))
-    srt = metrics.sort_by_abs(F.col("_a"))
-    return arr.select("policy_id", F.array_join(F.transform(srt, lambda s: s["feature"]), ",")
-                      .alias("features_by_impact"))
-
-
-_SCALE_ALL = "SELECT policy_id, " + ", ".join(
-    f'("{c}" - avg("{c}") OVER ()) / COALESCE(NULLIF(stddev_pop("{c}") OVER (), 0), 1) AS "{c}"'
-    for c in _PF_DOUBLES) + f" FROM ({_PF_SQL})"
+    """Each policy's features under every model by |contribution| (to four places, ties by name), sorted in place."""
+    a = _contribution_arrays(fixtures(spark, sf_dir))
+    near = F.transform("items", lambda s: F.struct(s["feature"].alias("feature"),
+                                                   round_half_away(s["contribution"], 4).alias("contribution")))
+    return a.select("model_id", "policy_id", F.array_join(F.transform(
+        metrics.sort_by_abs(near), lambda s: s["feature"]), ",").alias("features_by_impact"))
 
 
-@query("standard_scale", oracle=rnd(_SCALE_ALL, _PF_DOUBLES))
+@query("standard_scale", oracle=rnd(_SCALED_SQL, _PF_DOUBLES))
 def q_standard_scale(spark, sf_dir):
     """Every policy feature scaled by mean and population std (std 0 -> 1)."""
     pf = _policy_features(fixtures(spark, sf_dir))

@@ -111,8 +111,7 @@ def q_latest_model(spark, sf_dir):
     return R.latest_model(R.model_paths(fixtures(spark, sf_dir).model_versions))
 
 
-_IMP_SQL = """SELECT model_id, feature_name, imp / sum(imp) OVER (PARTITION BY model_id) AS importance
-FROM (SELECT model_id, feature_name, sum(importance) AS imp FROM fx_importance GROUP BY 1, 2)"""
+_IMP_SQL = "SELECT model_id, feature_name, arg_max(importance, feature_id) AS importance FROM fx_importance GROUP BY 1, 2"
 
 
 @query("importance_rows", oracle=rnd(with_clause("fx_importance") + _IMP_SQL, ["importance"]))

@@ -96,11 +96,20 @@ FROM nation
 # the uniqueness audit must report); importance is the part's retail price.
 FX_IMPORTANCE = """
 SELECT p_partkey AS feature_id, CAST(p_size % 3 AS INT) AS model_id,
-       CASE p_partkey % 12 WHEN 0 THEN 'driver_driver_age_mean' WHEN 1 THEN 'driver_occupation_risk_max'
-            WHEN 2 THEN 'vehicle_vehicle_value_mean' WHEN 3 THEN 'vehicle_per_driver_ratio'
-            WHEN 4 THEN 'vehicle_annual_mileage_min' WHEN 5 THEN 'accident_count' WHEN 6 THEN 'total_claim_amount'
-            WHEN 7 THEN 'years_since_last_incident' WHEN 8 THEN 'location_crime_rate_mean'
-            WHEN 9 THEN 'location_traffic_density_max' WHEN 10 THEN 'num_drivers' ELSE 'credit_score' END AS feature_name,
+       CASE WHEN p_partkey % 4 = 3 THEN
+              CASE p_partkey % 15 WHEN 0 THEN 'accident_count' WHEN 1 THEN 'violation_count' WHEN 2 THEN 'claim_count'
+                WHEN 3 THEN 'at_fault_count' WHEN 4 THEN 'total_claim_amount' WHEN 5 THEN 'years_since_last_incident'
+                WHEN 6 THEN 'incident_severity_score' WHEN 7 THEN 'policy_duration_days' WHEN 8 THEN 'num_drivers'
+                WHEN 9 THEN 'num_vehicles' WHEN 10 THEN 'num_locations' WHEN 11 THEN 'vehicle_per_driver_ratio'
+                WHEN 12 THEN 'insurance_score' ELSE 'credit_score' END
+            ELSE CONCAT(CASE p_partkey % 4
+              WHEN 0 THEN CASE p_partkey % 5 WHEN 0 THEN 'driver_driver_age' WHEN 1 THEN 'driver_driver_experience'
+                WHEN 2 THEN 'driver_gender_male' WHEN 3 THEN 'driver_marital_status_single' ELSE 'driver_occupation_risk' END
+              WHEN 1 THEN CASE p_partkey % 5 WHEN 0 THEN 'vehicle_vehicle_age' WHEN 1 THEN 'vehicle_vehicle_value'
+                WHEN 2 THEN 'vehicle_annual_mileage' WHEN 3 THEN 'vehicle_make_model_risk' ELSE 'vehicle_anti_theft_device' END
+              ELSE CASE p_partkey % 5 WHEN 0 THEN 'location_crime_rate' WHEN 1 THEN 'location_weather_risk'
+                WHEN 2 THEN 'location_traffic_density' WHEN 3 THEN 'location_state_CA' ELSE 'location_state_NY' END END,
+              CASE p_partkey % 3 WHEN 0 THEN '_mean' WHEN 1 THEN '_max' ELSE '_min' END) END AS feature_name,
        p_retailprice AS importance
 FROM part
 """
