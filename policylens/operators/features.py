@@ -47,21 +47,18 @@ class Vocabulary:
 
 def category_vocab_frame(drivers: DataFrame, vehicles: DataFrame, history: DataFrame,
                          locations: DataFrame) -> DataFrame:
-    """Distinct categories per encoder as long rows (encoder, category).
+    """Distinct categories per encoder as long rows (encoder, category); each table is scanned once.
 
     The encoders only ever see enum values or state codes, so the result is a
     bounded vocabulary, not a function of the data volume.
     """
-    parts = [
-        drivers.select(F.lit("gender").alias("encoder"), F.col("gender").alias("category")),
-        drivers.select(F.lit("marital_status").alias("encoder"), F.col("marital_status").alias("category")),
-        vehicles.select(F.lit("use").alias("encoder"), F.col("primary_use").alias("category")),
-        locations.select(F.lit("state").alias("encoder"), F.col("state").alias("category")),
-        history.select(F.lit("incident_type").alias("encoder"), F.col("incident_type").alias("category")),
-        history.select(F.lit("severity").alias("encoder"), F.col("severity").alias("category")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
+    def pairs(df: DataFrame, **encoders: str) -> DataFrame:
+        return df.select(F.inline(F.array(*[F.struct(F.lit(e).alias("encoder"), F.col(c).alias("category"))
+                                            for e, c in encoders.items()])))
+
+    out = pairs(drivers, gender="gender", marital_status="marital_status")
+    for p in (pairs(vehicles, use="primary_use"), pairs(locations, state="state"),
+              pairs(history, incident_type="incident_type", severity="severity")):
         out = out.unionByName(p)
     return out.where(F.col("category").isNotNull()).distinct()
 

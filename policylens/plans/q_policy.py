@@ -12,15 +12,9 @@ from policylens.plans.q_features import (AS_OF, SQL_AGE_BAND, SQL_ENH_TERRITORY,
 from policylens.sources.tables import with_clause
 
 
-_VOCAB: dict = {}
-
-
 def vocab_for(fx):
-    """Encoders are fitted once per session and data folder, then reused."""
-    key = (id(fx.spark), fx.sf_dir)
-    if key not in _VOCAB:
-        _VOCAB[key] = features.fit_vocabulary(fx.drivers, fx.vehicles, fx.history, fx.locations)
-    return _VOCAB[key]
+    """The encoders, fitted on the query's own tables."""
+    return features.fit_vocabulary(fx.drivers, fx.vehicles, fx.history, fx.locations)
 
 
 # ---- oracle-side vocabulary: what the fixture rules can produce -------------------

@@ -8,8 +8,8 @@ from policylens.operators import monitor as M
 from policylens.operators import quote, rating, registry
 from policylens.plans.catalog import fixtures, query, rnd, rounded
 from policylens.plans.q_features import _SQL_PREMIUM, _WITH_ALL, AS_OF
-from policylens.plans.q_monitor import (_FEATURE_LONG, _PRED_LONG, _W, _WINDOWED, WINDOW_DAYS, _psi_sql,
-                                        _stats_sql)
+from policylens.plans.q_monitor import (_FEATURE_LONG, _PRED_LONG, _SPLIT, _W, _WINDOWED, WINDOW_DAYS,
+                                        _psi_sql, _stats_sql)
 from policylens.plans.q_quote import _QUOTE
 from policylens.plans.q_registry import _IMP_SQL
 from policylens.sources import nested, sinks
@@ -73,8 +73,15 @@ _PD_LONG = f"""SELECT model_id, 'prediction_drift' AS metric_type, metric_name,
   ON {", ".join(sinks.DRIFT_METRICS)} INTO NAME metric_name VALUE metric_value)"""
 
 
-@query("monitoring_log", oracle=rnd(_W + f"{_PERF_LONG} UNION ALL {_FD_LONG} UNION ALL {_PD_LONG}",
-                                    ["metric_value"]))
+_BOUNDS = f"""SELECT model_id, min(created_at) FILTER (period = 'reference') AS reference_start,
+  max(created_at) FILTER (period = 'reference') AS reference_end, min(created_at) FILTER (period = 'current') AS current_start,
+  max(created_at) FILTER (period = 'current') AS current_end FROM ({_SPLIT}) GROUP BY 1"""
+_LOG_LONG = f"""SELECT l.*, b.reference_start, b.reference_end, b.current_start, b.current_end
+FROM ({_PERF_LONG} UNION ALL {_FD_LONG} UNION ALL {_PD_LONG}) l
+LEFT JOIN ({_BOUNDS}) b ON b.model_id = l.model_id AND l.metric_type <> 'performance'"""
+
+
+@query("monitoring_log", oracle=rnd(_W + _LOG_LONG, ["metric_value"]))
 def q_monitoring_log(spark, sf_dir):
     """S6 + F27/F28: monitoring rows as JSON, appended and read back as (model, type, name, value)."""
     fx = fixtures(spark, sf_dir)
@@ -82,7 +89,7 @@ def q_monitoring_log(spark, sf_dir):
     split = M.period_split(hist)
     path = sinks.new_path(spark, "monitoring-log")
     sinks.append_monitoring_log(
-        sinks.monitoring_rows(M.performance(hist), M.feature_drift(split), M.prediction_drift(split)), path)
+        sinks.monitoring_rows(M.performance(hist), M.feature_drift(split), M.prediction_drift(split), M.period_bounds(split)), path)
     rows = spark.read.parquet(path)
     return rounded(sinks.monitoring_long(rows).where(F.col("metric_value").isNotNull()))
 
