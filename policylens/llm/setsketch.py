@@ -232,16 +232,21 @@ class NearDuplicates:
         Members of one bucket share its leader, so all pairs of a bucket that
         the leader does not connect meet in the leader's group. A group is
         taken in blocks of ``block`` members, two at a time, and gives no more links than members.
+        Members of its largest component, mostly nearly all, meet only the blocks of the others.
         """
         s, put = self.s, self.scratch.put
         named = put(pairs.join(labels.withColumnRenamed("id", "b"), "b", "left").select("a", "b", F.coalesce("label", "b").alias("label")), "labelled")
-        open_ = put(named.groupBy("a").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
-                    .where("x != y").select("a", F.ceil(F.col("n") / s.block).cast("int").alias("blocks")), "open")
+        parts = named.groupBy("a", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("a").agg(
+            F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+        blocks = lambda n: F.ceil(n / s.block).cast("int")
+        open_ = put(parts.where("parts > 1").select("a", "main", blocks(F.col("n") - F.col("most")).alias("rest"), blocks(F.col("most")).alias("mains")), "open")
         named = put(named.join(small(open_, open_.count()), "a"), "open_members")
         sets = self._sets(put(named.select(F.col("b").alias("doc_id")).distinct(), "open_ids"), "open_sets")
-        own = F.pmod(F.xxhash64("b"), "blocks").cast("int")
+        is_main, at = F.col("label") == F.col("main"), F.xxhash64("b")
+        own = F.when(is_main, F.col("rest") + F.pmod(at, "mains")).otherwise(F.pmod(at, "rest")).cast("int")
+        last = F.when(is_main, F.col("rest") - 1).otherwise(F.col("rest") + F.col("mains") - 1)
         rows = named.join(sets.withColumnRenamed("id", "b"), "b").join(self.reps.select(F.col("id").alias("b"), "registers", "n_shingles"), "b")
-        rows = rows.where(F.size("set") == F.col("n_shingles")).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.where(F.size("set") == F.col("n_shingles")).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         rows = rows.select("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "b", "label", "registers", "set")
         return put(rows.groupBy("a", "i", "j").applyInArrow(_join_components(s), "a bigint, b bigint").distinct(), "late_links")
 
