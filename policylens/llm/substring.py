@@ -14,11 +14,12 @@ words alone, so equal windows have equal phrases. The steps:
 4. Automata: the stretches of words around recurring phrases are dealt to
    shards by phrase (a hot phrase to several shards, by document); a shard
    compiles its confirmed passages into an Aho-Corasick automaton over word
-   ids and streams all its stretches through it, which gives the place of
-   every occurrence.
+   symbols and streams all its stretches through it; an occurrence counts if
+   the 64-bit hash of the window at its place is a confirmed one.
 
-Word ids are 32-bit hashes and windows are counted by a 64-bit hash. No text
-takes part in a shuffle except those of documents that hold a recurring phrase.
+Word ids are 64-bit hashes, and phrases, windows and whole texts are hashed
+from them; the automaton's symbols are their low 32 bits. No text takes part
+in a shuffle except those of documents that hold a recurring phrase.
 """
 
 from __future__ import annotations
@@ -49,7 +50,11 @@ class Passages:
 
 
 def word_ids(text: Column) -> Column:
-    return F.transform(words(text), lambda w: F.hash(w))
+    return _hashed(words(text))
+
+
+def _hashed(w: Column | str) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
 
 
 def _canonical(ids: np.ndarray, offsets: np.ndarray, p: Passages) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,7 +94,7 @@ PHRASES = "rid bigint, doc_id bigint, tkey bigint, n_words bigint, full_sha256 s
 def phrase_table(docs: DataFrame, doc_id: Column, text: Column, p: Passages) -> DataFrame:
     rows = docs.select(doc_id.cast("long").alias("doc_id"), text_key(text).alias("tkey"), words(text).alias("w"))
     rows = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "tkey", F.size("w").cast("long").alias("n_words"),
-                       F.sha2(F.array_join("w", " "), 256).alias("full_sha256"), F.transform("w", lambda w: F.hash(w)).alias("ids"))
+                       F.sha2(F.array_join("w", " "), 256).alias("full_sha256"), _hashed("w").alias("ids"))
     return rows.mapInArrow(_phrases(p), PHRASES)
 
 
@@ -130,14 +135,16 @@ def _stretch_rows(p: Passages):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rolling.pieces(batches, "ids"):
             row, first, last, phrase, spread, offsets, ids = _stretches(batch, p)
-            rid = batch.column("rid").to_numpy()
-            ids = ids.astype("<i4")
-            out = [ids[a:b + p.width].tobytes() for a, b in zip(first, last, strict=True)]
-            for a in range(0, len(out), 1 << 16):
-                z = slice(a, a + (1 << 16))
+            rid, hashes = batch.column("rid").to_numpy(), rolling.windows(ids, p.width).astype("<u8")
+            symbols = ids.astype("<u8").astype("<u4")
+            for a in range(0, len(first), 1 << 14):
+                z = slice(a, a + (1 << 14))
+                ends = list(zip(first[z].tolist(), last[z].tolist(), strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rid[row[z]]), pa.array((first - offsets[row])[z].astype(np.int32)), pa.array(phrase[z]), pa.array(spread[z]),
-                     pa.array(out[z], pa.binary())], ["rid", "start", "phrase", "spread", "ids"])
+                     pa.array([symbols[x:y + p.width].tobytes() for x, y in ends], pa.binary()),
+                     pa.array([hashes[x:y + 1].tobytes() for x, y in ends], pa.binary())],
+                    ["rid", "start", "phrase", "spread", "symbols", "windows"])
     return run
 
 
@@ -150,33 +157,33 @@ def _locate(p: Passages):
         if not len(stretches) or not len(confirmed):
             return schema.empty_table()
         known = np.unique(confirmed.column("window").to_numpy())
-        data = stretches.column("ids").to_pylist()
-        sizes = np.array([len(x) // 4 for x in data])
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        ids = np.frombuffer(b"".join(data), "<i4")
-        hashes = rolling.windows(ids, p.width).view(np.int64)
+        data = [np.frombuffer(x, "<u4").tolist() for x in stretches.column("symbols").to_pylist()]
+        windows = stretches.column("windows").to_pylist()
+        offsets = np.concatenate([[0], np.cumsum([len(x) // 8 for x in windows])])
+        hashes = np.frombuffer(b"".join(windows), "<i8")
         at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
         hit = known[at] == hashes
-        words32 = ids.view("<u4").tolist()
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         added = set()
-        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-            own = np.flatnonzero(hit[a:b - p.width + 1])
+        for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+            own = np.flatnonzero(hit[a:b])
             if len(own):
                 # the ends of each run of recurring windows; those between lie under them, as a stretch is short
                 ends = own[np.concatenate([[True], np.diff(own) > 1]) | np.concatenate([np.diff(own) > 1, [True]])]
-                for s in (ends + a).tolist():
-                    if (h := int(hashes[s])) not in added:
+                for s in ends.tolist():
+                    if (h := int(hashes[a + s])) not in added:
                         added.add(h)
-                        automaton.add_word(tuple(words32[s:s + p.width]), True)
+                        automaton.add_word(tuple(data[k][s:s + p.width]), True)
         if not added:
             return schema.empty_table()
         automaton.make_automaton()
         rid, first = stretches.column("rid").to_pylist(), stretches.column("start").to_pylist()
         out: tuple[list, list, list] = ([], [], [])
-        for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+        for k, a in enumerate(offsets[:-1].tolist()):
             low = high = -1
-            for end, _ in automaton.iter(tuple(words32[a:b])):
+            for end, _ in automaton.iter(tuple(data[k])):
+                if not hit[a + end + 1 - p.width]:  # equal symbols of other words
+                    continue
                 if high < end + 1 - p.width:
                     if low >= 0:
                         for o, v in zip(out, (rid[k], first[k] + low, first[k] + high), strict=True):
@@ -259,8 +266,8 @@ class Repeats:
         confirmed = (source.mapInArrow(_window_rows(p), "window bigint, phrase bigint, spread int")
                      .select("window", shard.alias("shard"), "spread").groupBy("window", "shard", "spread").agg(F.count(F.lit(1)).alias("n"))
                      .where("n > 1").select("window", "shard", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("part")))
-        stretches = (source.mapInArrow(_stretch_rows(p), "rid bigint, start int, phrase bigint, spread int, ids binary")
-                     .select("rid", "start", "ids", shard.alias("shard"), F.pmod("rid", "spread").cast("int").alias("part")))
+        stretches = (source.mapInArrow(_stretch_rows(p), "rid bigint, start int, phrase bigint, spread int, symbols binary, windows binary")
+                     .select("rid", "start", "symbols", "windows", shard.alias("shard"), F.pmod("rid", "spread").cast("int").alias("part")))
         spans = (stretches.groupBy("shard", "part").cogroup(confirmed.groupBy("shard", "part"))
                  .applyInArrow(_locate(p), "rid bigint, from_word bigint, to_word bigint"))
         spans = spans.groupBy("rid").agg(F.collect_list(F.struct("from_word", "to_word")).alias("spans"))

@@ -94,6 +94,22 @@ def test_substring(docs, rows, empty):
     assert substring.Repeats(empty, empty["doc_id"], empty["text"]).digests().count() == 0
 
 
+@pytest.mark.parametrize("kind", ["hash(w)", "xxhash64(w) & 4294967295"])
+def test_substring_tells_words_of_equal_symbols_apart(spark, kind):
+    """Two words whose 32-bit hashes are equal, in the same slot of one template."""
+    r = random.Random(1)
+    words = spark.range(400_000).selectExpr("concat('n', id) as w").groupBy(F.expr(kind).alias("h"))
+    one, two = sorted(words.agg(F.sort_array(F.collect_list("w")).alias("w")).where("size(w) > 1").orderBy("h").first()["w"])[:2]
+    head, tail = ([f"w{r.randrange(400)}" for _ in range(60)] for _ in range(2))
+    for slots in ([one, two], [one, one, two]):
+        own = len(slots) == 3  # else the texts differ in that one word alone
+        rows = [(k, " ".join([*head, x, *tail, *[f"own{k}"] * own])) for k, x in enumerate(slots)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        want = [(k, len(brute.words(t)), len(brute.words(t)) - len(left), brute.sha(" ".join(left)))
+                for (k, t), left in zip(rows, brute.kept_words([t for _, t in rows]), strict=True)]
+        same(substring.Repeats(docs, docs["doc_id"], docs["text"]).digests().collect(), want)
+
+
 def test_window_hashes_depend_on_their_ids_alone():
     ids = np.array([5, 6, 7, 8, 9, 5, 6, 7, 8, 9], np.int32)
     for width in (1, 2, 3, 5):
