@@ -12,7 +12,7 @@ words alone, so equal windows have equal phrases. The steps:
 3. Confirmation: those windows are counted by hash, again by a partial
    aggregate, so a passage of a third of all documents is no hot task.
 4. Automata: the stretches of words around recurring phrases are dealt to
-   shards by phrase (a hot phrase to several shards, by document); a shard
+   shards by phrase (a hot phrase to several shards, by document and place); a shard
    compiles its confirmed passages into an Aho-Corasick automaton over word
    symbols and streams all its stretches through it; an occurrence counts if
    the 64-bit hash of the window at its place is a confirmed one.
@@ -197,21 +197,20 @@ def _locate(p: Passages):
     return run
 
 
-def _merged(spans: list[dict]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted((s["from_word"], s["to_word"]) for s in spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def _merged(spans: pa.ListScalar) -> list[tuple[int, int]]:
+    """The spans of one text, joined where they meet."""
+    low, high = (spans.values.field(k).to_numpy() for k in ("from_word", "to_word"))
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    new = np.concatenate([[True], low[1:] > high[:-1]])
+    return list(zip(low[new].tolist(), high[np.concatenate([new[1:], [True]])].tolist(), strict=True))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rid, text, spans) -> what is left of the text."""
     for batch in batches:
         rows = []
-        for rid, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+        for rid, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
             found, at, kept, gone = WORD.findall(text.as_py() or ""), 0, [], 0
             for a, b in _merged(spans):
                 kept += found[at:a]
@@ -267,7 +266,7 @@ class Repeats:
                      .select("window", shard.alias("shard"), "spread").groupBy("window", "shard", "spread").agg(F.count(F.lit(1)).alias("n"))
                      .where("n > 1").select("window", "shard", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("part")))
         stretches = (source.mapInArrow(_stretch_rows(p), "rid bigint, start int, phrase bigint, spread int, symbols binary, windows binary")
-                     .select("rid", "start", "symbols", "windows", shard.alias("shard"), F.pmod("rid", "spread").cast("int").alias("part")))
+                     .select("rid", "start", "symbols", "windows", shard.alias("shard"), F.pmod(F.xxhash64("rid", "start"), "spread").cast("int").alias("part")))
         spans = (stretches.groupBy("shard", "part").cogroup(confirmed.groupBy("shard", "part"))
                  .applyInArrow(_locate(p), "rid bigint, from_word bigint, to_word bigint"))
         spans = spans.groupBy("rid").agg(F.collect_list(F.struct("from_word", "to_word")).alias("spans"))

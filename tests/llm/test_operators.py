@@ -110,6 +110,27 @@ def test_substring_tells_words_of_equal_symbols_apart(spark, kind):
         same(substring.Repeats(docs, docs["doc_id"], docs["text"]).digests().collect(), want)
 
 
+def test_hot_phrase_of_one_text_is_spread(spark, monkeypatch):
+    """A long text of one word has one phrase at every place; its stretches go to many groups."""
+    locate = substring._locate
+
+    def bounded(p):
+        run = locate(p)
+
+        def small_group(stretches, confirmed):
+            assert len(stretches) <= 2 * p.shard, f"{len(stretches)} stretches in one group"
+            return run(stretches, confirmed)
+        return small_group
+
+    monkeypatch.setattr(substring, "_locate", bounded)
+    tail = [f"t{k}" for k in range(50)]
+    rows = [(1, "x " * 5000 + " ".join(tail)), (2, "a b c " * 1000), (3, " ".join(tail[:20]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(k, len(brute.words(t)), len(brute.words(t)) - len(left), brute.sha(" ".join(left)))
+            for (k, t), left in zip(rows, brute.kept_words([t for _, t in rows]), strict=True)]
+    same(substring.Repeats(docs, docs["doc_id"], docs["text"], substring.Passages(shard=256)).digests().collect(), want)
+
+
 def test_window_hashes_depend_on_their_ids_alone():
     ids = np.array([5, 6, 7, 8, 9, 5, 6, 7, 8, 9], np.int32)
     for width in (1, 2, 3, 5):
