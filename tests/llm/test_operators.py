@@ -203,6 +203,15 @@ def test_encoder_equals_tokenizers():
     assert [x.ids for x in t.encode_batch(texts, add_special_tokens=False)] == [encode(x) for x in texts]
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, " " * 99_999, "\u3000" * 100_000])
+def test_encoder_of_long_white_space(run):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    t.encode_special_tokens = True
+    text = f"one{run}two \n three"
+    assert tokens.encoder(queries.tokenizer_path())(text) == t.encode(text, add_special_tokens=False).ids
+
+
 def test_warc_round_trip(spark, tmp_path):
     r = random.Random(2)
     noise = bytes(r.randrange(256) for _ in range(5000)).decode("latin-1")
