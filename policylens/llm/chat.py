@@ -1,8 +1,8 @@
 """Chat formatting of records whose layouts differ, by fingerprints of their schemas.
 
-A record is a JSON text. The paths of its nested fields, in order and
+A record is a JSON text. The paths of its fields and of the fields in its lists of turns, in order and
 without types, are hashed; the hash selects a declarative mapping, which says where
-roles and texts stand. Every mapping yields the same canonical turns, and
+roles and texts stand. A record may have any size that a string may have. Every mapping yields the same canonical turns, and
 those are written in one template and can be read back from it.
 
 Only DataFrame functions.
@@ -54,36 +54,90 @@ RECORD = ("messages array<struct<role:string,content:string>>, conversations arr
           "completion string, instruction string, output string, system string, question string, answer string")
 
 
-def field_paths(record: Column) -> Column:
-    """The schema of a JSON record as nested field names without types, such as ``OBJECT<messages:ARRAY<OBJECT<content,role>>>``; null for no JSON."""
-    kind = F.schema_of_variant(F.try_parse_json(record))
-    return F.regexp_replace(kind, r": (?!OBJECT|ARRAY)[A-Z]+(\([0-9, ]*\))?", "")
+#: Else the JSON reader takes a text of more than 20 million characters as null.
+WHOLE = {"maxStringLen": str((1 << 31) - 1)}
 
 
-def fingerprint(record: Column) -> Column:
-    return F.sha2(field_paths(record), 256)
+def _plain(key: Column) -> Column:
+    return F.replace(F.replace(key, F.lit("\\"), F.lit("\\\\")), F.lit("["), F.lit("\\["))
 
 
-def _as_kind(layout: Layout) -> str:
-    """What ``field_paths`` says of a layout's records."""
-    lists: dict[str, list[str]] = {}
-    for path in layout.paths:
-        head, _, inner = path.partition("[].")
-        lists.setdefault(head, []).extend([inner] if inner else [])
-    return "OBJECT<" + ", ".join(f"{k}: ARRAY<OBJECT<{', '.join(sorted(v))}>>" if v else k for k, v in sorted(lists.items())) + ">"
+def with_paths(records: DataFrame, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """``records`` plus the parsed record ``r`` and ``paths``: the names of a JSON record's fields in order, such as ``messages[].content``;
+    null for no JSON object, or one that names a field twice.
 
-
-def canonical_turns(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """Struct of layout (name, null if no mapping fits) and turns (array of role and text) of a JSON record.
+    A list of turns gives the names of all its objects' fields, one without objects its own name and ``[]``. Of the layouts' fields, one
+    that holds objects is marked ``{}``, one that holds lists ``[]``; in other fields nothing is looked into.
+    """
+    heads = {head: inner for head, _, inner in (path.partition("[].") for layout in layouts for path in layout.paths)}
+    lists = [head for head, inner in heads.items() if inner]
+    parsed = lambda schema: F.from_json(F.col(record), schema, WHOLE)
+
+    def once(keys: Column) -> Column:
+        return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.array(F.lit("twice["))).otherwise(keys)
+
+    def names(head: str) -> Column:
+        """The field names of a list's objects, and "[" if there is an object; null for no list."""
+        items = parsed(f"`{head}` array<string>")[head]
+        return F.aggregate(items, F.array().cast("array<string>"), lambda a, x: F.when(x.isNull(), a).otherwise(
+            F.array_union(F.array_union(a, F.array(F.lit("["))), F.coalesce(once(F.json_object_keys(x)), a))))
+
+    own = records.select("*", F.json_object_keys(F.col(record)).alias("_keys"), parsed(RECORD).alias("r"),
+                         F.struct(*[names(head).alias(head) for head in lists]).alias("_names"))
+    # an object or list that is read as a string keeps its bracket; only records with such a text are parsed again
+    known = {head: sorted(path.partition("[].")[2] for layout in layouts for path in layout.paths if path.startswith(f"{head}[].")) for head in lists}
+    bracket = lambda text: F.coalesce(F.substring(text, 1, 1).isin("{", "["), F.lit(False))
+    odd = F.lit(False)
+    for head in heads:
+        texts = [F.exists(F.col("r")[head][k], bracket) for k in known[head]] if head in lists else [bracket(F.col("r")[head])]
+        for text in texts:
+            odd = odd | F.coalesce(text, F.lit(False))
+    own = own.withColumns({name: F.when(odd, parsed(RECORD.replace("string", f"{kind}string>"))) for name, kind in (("_objects", "map<string,"), ("_lists", "array<"))})
+
+    def marked(name: Column, held: Column, objects: Column, arrays: Column) -> Column:
+        return F.concat(name, F.when((objects > 0) & (objects == held), "{}").when((arrays > 0) & (arrays == held), "[]").otherwise(""))
+
+    def below(head: str) -> Column:
+        found = F.col("_names")[head]
+
+        def path(name: Column) -> Column:
+            out = _plain(name)
+            for k in known[head]:
+                n = [F.size(F.filter(F.col(c)[head][k], lambda x: x.isNotNull())) for c in ("r", "_objects", "_lists")]
+                out = F.when(name == k, marked(F.lit(k), *n)).otherwise(out)
+            return F.concat(F.lit(f"{head}[]."), out)
+
+        inner = F.transform(F.array_sort(F.array_remove(found, "[")), path)
+        return (F.when(F.col("r")[head].isNull(), F.array(F.when(found.isNull(), head).otherwise(f"{head}[?]")))
+                .when(F.size(found) == 0, F.array(F.lit(f"{head}[]")))
+                .when(F.size(found) == 1, F.array(F.lit(f"{head}[]{{}}"))).otherwise(inner))
+
+    def field(key: Column) -> Column:
+        out = F.array(_plain(key))
+        for head in heads:
+            n = [F.col(c)[head].isNotNull().cast("int") for c in ("r", "_objects", "_lists")]
+            out = F.when(key == head, below(head) if head in lists else F.array(marked(F.lit(head), *n))).otherwise(out)
+        return out
+
+    paths = F.flatten(F.transform(F.array_sort("_keys"), field))
+    return own.withColumn("paths", F.when(F.size(F.array_distinct("_keys")) == F.size("_keys"), paths)).drop("_keys", "_objects", "_lists", "_names")
+
+
+def fingerprint(paths: Column) -> Column:
+    return F.sha2(F.to_json(paths), 256)
+
+
+def canonical_turns(layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """Struct of layout (name, null if no mapping fits) and turns (array of role and text) of the parsed record ``r``.
 
     Null roles and texts are empty. A list of turns that
     is empty has no paths below it; its record is mapped by the list's name.
     """
     choose, name = None, None
     for layout in layouts:
-        hit = F.col("fingerprint") == F.sha2(F.lit(_as_kind(layout)), 256)
+        hit = F.col("fingerprint") == fingerprint(F.array(*map(F.lit, layout.paths)))
         if "[]." in layout.paths[0]:
-            hit = hit | (F.col("fingerprint") == F.sha2(F.lit(f"OBJECT<{layout.paths[0].partition('[].')[0]}: ARRAY<VOID>>"), 256))
+            hit = hit | (F.col("fingerprint") == fingerprint(F.array(F.lit(layout.paths[0].partition(".")[0]))))
         turns = F.expr(layout.turns)
         choose = F.when(hit, turns) if choose is None else choose.when(hit, turns)
         name = F.when(hit, F.lit(layout.name)) if name is None else name.when(hit, F.lit(layout.name))
@@ -92,9 +146,9 @@ def canonical_turns(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Co
 
 def with_turns(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``records`` plus fingerprint, layout and turns. A record that is no JSON or of an unknown schema keeps null turns, so nothing is guessed."""
-    own = records.withColumn("fingerprint", fingerprint(F.col(record))).withColumn("r", F.from_json(F.col(record), RECORD))
-    own = own.withColumn("_c", canonical_turns(F.col(record), layouts))
-    return own.withColumn("layout", F.col("_c.layout")).withColumn("turns", F.coalesce(F.col("_c.turns"), F.lit(None).cast(TURNS))).drop("_c", "r")
+    own = with_paths(records, record, layouts)
+    own = own.withColumn("fingerprint", fingerprint(F.col("paths"))).withColumn("_c", canonical_turns(layouts))
+    return own.withColumn("layout", F.col("_c.layout")).withColumn("turns", F.coalesce(F.col("_c.turns"), F.lit(None).cast(TURNS))).drop("_c", "r", "paths")
 
 
 def escaped(text: Column, codes=CODES[:3]) -> Column:

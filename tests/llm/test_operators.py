@@ -373,6 +373,25 @@ def test_chat_records_of_rows(spark):
     assert got == {1: [("user", "q"), ("assistant", "")], 2: [("", "z"), ("a", "y"), ("b", "x")], None: [("user", "n")], 3: [("user", "u"), ("user", "u")]}
 
 
+def test_chat_odd_records(spark):
+    """Only records of a known shape are mapped."""
+    records = ['{"prompt": {"a": 1}, "completion": "x"}', '{"prompt": [1], "completion": "x"}', '{"messages": "[]"}', '{"messages": [1, "a"]}', '{"messages": [{}]}',
+               '{"messages": [{"role": "u", "content": {"a": 1}}]}', '{"messages": [{"role": "u", "content": ["a"]}]}', '{"messages": [{"role": "u", "content": "x", "w": 2}]}',
+               '{"messages": [{"role": "u"}]}', '{"prompt": "a", "prompt": "b", "completion": "c"}', '{"messages[].content": 1, "messages[].role": 2}',
+               '{"messages": [{"role": "u", "role": "v", "content": "x"}]}', "[1]", '{}', '{"messages": [], "x": 1}',
+               '{"messages": [null, {"role": "u"}, {"content": "x"}]}', '{"completion": null, "prompt": "{\\"a\\": 2}"}']
+    df = chat.with_turns(spark.createDataFrame(list(enumerate(records)), "conv_id long, record string"))
+    got = {r.conv_id: (r.layout, r.turns and [tuple(t) for t in r.turns]) for r in df.collect()}
+    assert got == {k: (None, None) for k in range(15)} | {15: ("messages", [("", ""), ("u", ""), ("", "x")]), 16: ("prompt", [("user", '{"a": 2}'), ("assistant", "")])}
+
+
+def test_chat_record_with_a_text_beyond_the_readers_limit(spark):
+    record = F.concat(F.lit('{"messages":[{"role":"user","content":"'), F.repeat(F.lit("x"), (F.col("id") + 21_000_000).cast("int")), F.lit('"}]}'))
+    df = chat.with_turns(spark.range(1).select(F.col("id").alias("conv_id"), record.alias("record")))
+    got = df.select("layout", F.transform("turns", lambda t: F.struct(t["role"], F.length(t["text"]))).alias("t")).first()
+    assert got.layout == "messages" and [tuple(t) for t in got.t] == [("user", 21_000_000)]
+
+
 def test_pipeline_against_plain_version(spark):
     """Every stage of the pipeline on the smallest table, each judged on its own input."""
     docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
