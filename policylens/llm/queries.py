@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policylens.llm import ann, chat, fm_toxicity, host_rules, knn_quality, mixing, packing, setsketch, substring, warc
+from policylens.llm import ann, chat, fm_toxicity, hard_negatives, host_rules, knn_quality, mixing, packing, pq_codes, setsketch, substring, warc
 from policylens.llm.text import Scratch
 
 
@@ -86,6 +86,17 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(rows["vec_id"] % 7 == 0, (rows["label"] + 1) % 10).otherwise(rows["label"])
+    return hard_negatives.mine(rows, rows["vec_id"], rows["embedding"], label, rows["vec_id"] % 100 == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return pq_codes.digests(pq_codes.fit(rows, rows["vec_id"], rows["embedding"], rows["label"]))
+
+
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 SQL1 = """
@@ -155,11 +166,51 @@ g AS (SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
 """
 
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+SQL11 = f"""
+WITH e AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {FINITE}),
+a AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM (SELECT DISTINCT * FROM e WHERE vec_id % 100 = 0)),
+s AS MATERIALIZED (SELECT a.r, a.vec_id AS anchor_id, a.label = e.label AS same, e.vec_id, CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+      FROM a, e WHERE a.vec_id <> e.vec_id OR a.label <> e.label),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+      row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.r = p.r AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def lloyd_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Each round scans the whole codebook: places (row, part), nearest entry by (distance, index), floored means."""
+    steps = [f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, label NULLS FIRST, embedding) AS r, vec_id, label,
+      list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE {FINITE}),
+cut AS MATERIALIZED (SELECT r, p, v[p * w + 1:p * w + w] AS x FROM (SELECT r, v, len(v) // {parts} AS w, unnest(range({parts})) AS p FROM kept)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM cut WHERE r <= {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+n{k} AS MATERIALIZED (SELECT r, p, any_value(x) AS x, min([list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e]) AS m
+      FROM cut JOIN b{k} USING (p) GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""
+s{k} AS (SELECT p, e, i, CAST((s - (s % n + n) % n) // n AS BIGINT) AS c FROM (SELECT p, m[2] AS e, i, sum(x[i]) AS s, count(*) AS n
+      FROM (SELECT p, m, x, unnest(range(1, len(x) + 1)) AS i FROM n{k}) GROUP BY p, m[2], i)),
+b{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(u.c, b{k}.c) AS c FROM b{k} LEFT JOIN (SELECT p, e, list(c ORDER BY i) AS c FROM s{k} GROUP BY p, e) u USING (p, e))""")
+    return ",".join(steps) + f""",
+one AS (SELECT r, string_agg(printf('%02x', CAST(m[2] AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(m[1]) AS BIGINT) AS error FROM n{rounds} GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM kept JOIN one USING (r), h
+"""
+
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_warc, op2_packing, op3_substring_dedup, op4_nearest_vectors, op5_host_rules, op6_mixing, op7_quality,
-                                    op8_toxicity, op9_near_duplicates, op10_chat)}
+                                    op8_toxicity, op9_near_duplicates, op10_chat, op11_hard_negatives, op12_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": SQL1, "op3_substring_dedup": SQL3, "op5_host_rules": SQL5, "op9_near_duplicates": SQL9, "op10_chat": SQL10}
+    return {"op1_warc": SQL1, "op3_substring_dedup": SQL3, "op5_host_rules": SQL5, "op9_near_duplicates": SQL9, "op10_chat": SQL10, "op11_hard_negatives": SQL11,
+            "op12_vector_codes": lloyd_sql()}

@@ -79,8 +79,9 @@ class Scratch:
         checkpoint_dir(self.spark)
         return df.checkpoint(True)
 
-    def drop(self) -> None:
+    def drop(self, name: str | None = None) -> None:
+        """Delete one table, or all of them."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        at = jvm.org.apache.hadoop.fs.Path(self.base)
+        at = jvm.org.apache.hadoop.fs.Path(self.base if name is None else f"{self.base}/{name}")
         at.getFileSystem(conf).delete(at, True)
-        self.paths.clear()
+        self.paths = [] if name is None else [p for p in self.paths if p != f"{self.base}/{name}"]
