@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policylens.llm import ann, chat, fm_toxicity, hard_negatives, host_rules, knn_quality, mixing, packing, pq_codes, setsketch, substring, warc
+from policylens.llm import ann, chat, fm_toxicity, hard_negatives, host_rules, knn_quality, mixing, packing, page_text, pq_codes, setsketch, substring, warc
 from policylens.llm.text import Scratch
 
 
@@ -97,6 +97,12 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_codes.digests(pq_codes.fit(rows, rows["vec_id"], rows["embedding"], rows["label"]))
 
 
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    model = page_text.fit(pages, pages["page_id"], pages["html"])
+    return page_text.extracted(pages, pages["page_id"], pages["url"], pages["html"], model)
+
+
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 SQL1 = """
@@ -205,12 +211,20 @@ h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM kept JOIN one USING (r), h
 """
 
+#: The test pages all have one article of headings and paragraphs, so there the text blocks can be cut out by patterns.
+SQL13 = r"""
+WITH a AS (SELECT page_id, url, list_transform(regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?(p|h1)>'),
+      lambda b: regexp_replace(replace(replace(replace(regexp_replace(replace(b, '<br>', ' '), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g')) AS b FROM pages),
+t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(b, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM a)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+"""
+
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_warc, op2_packing, op3_substring_dedup, op4_nearest_vectors, op5_host_rules, op6_mixing, op7_quality,
-                                    op8_toxicity, op9_near_duplicates, op10_chat, op11_hard_negatives, op12_vector_codes)}
+                                    op8_toxicity, op9_near_duplicates, op10_chat, op11_hard_negatives, op12_vector_codes, op13_page_text)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_warc": SQL1, "op3_substring_dedup": SQL3, "op5_host_rules": SQL5, "op9_near_duplicates": SQL9, "op10_chat": SQL10, "op11_hard_negatives": SQL11,
-            "op12_vector_codes": lloyd_sql()}
+            "op12_vector_codes": lloyd_sql(), "op13_page_text": SQL13}
