@@ -37,15 +37,17 @@ def _flat(*fields: tuple[str, str]) -> str:
     return "array(" + ", ".join(f"named_struct('role', '{role}', 'text', coalesce(r.`{field}`, ''))" for role, field in fields) + ")"
 
 
-def _listed(field: str, role: str, text: str) -> str:
-    return (f"transform(r.`{field}`, x -> named_struct('role', coalesce(case x.`{role}` when 'human' then 'user' when 'gpt' then 'assistant' "
-            f"else x.`{role}` end, ''), 'text', coalesce(x.`{text}`, '')))")
+def _listed(field: str, role: str, text: str, names: dict[str, str] | None = None) -> str:
+    """Turns of a list; ``names`` are the roles that the layout calls by other names, all other roles stay as they are."""
+    whens = "".join(f" when '{name}' then '{means}'" for name, means in (names or {}).items())
+    said = f"case x.`{role}`{whens} else x.`{role}` end" if whens else f"x.`{role}`"
+    return f"transform(r.`{field}`, x -> named_struct('role', coalesce({said}, ''), 'text', coalesce(x.`{text}`, '')))"
 
 
 #: The mappings. Roles of the "conversations" layout have the names human and gpt.
 LAYOUTS = (
     Layout("messages", ("messages[].content", "messages[].role"), _listed("messages", "role", "content")),
-    Layout("conversations", ("conversations[].from", "conversations[].value"), _listed("conversations", "from", "value")),
+    Layout("conversations", ("conversations[].from", "conversations[].value"), _listed("conversations", "from", "value", {"human": "user", "gpt": "assistant"})),
     Layout("prompt", ("completion", "prompt"), _flat(("user", "prompt"), ("assistant", "completion"))),
     Layout("instruction", ("instruction", "output", "system"), _flat(("system", "system"), ("user", "instruction"), ("assistant", "output"))),
     Layout("question", ("answer", "question"), _flat(("user", "question"), ("assistant", "answer"))),

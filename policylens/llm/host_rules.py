@@ -21,12 +21,15 @@ WINDOW = 8
 class HostRules:
     """min_words, max_repeat_pct: the base rules. max_symbol_pct (symbols per 100 word characters)
     and max_dup_line_pct (repeated lines per 100 lines with a word) are counted for hosts only.
-    host_limit: a host whose shrunk failure rate exceeds it is rejected."""
+    A host is rejected whose shrunk failure rate exceeds the prior's mean by ``deviations`` of its standard deviations (the
+    upper tail of what hosts are like) and ``least_limit``; above ``host_limit`` it is rejected whatever the others are like."""
 
     min_words: int = 20
     max_repeat_pct: int = 30
     max_symbol_pct: int = 10
     max_dup_line_pct: int = 30
+    deviations: float = 2.0
+    least_limit: float = 0.25
     host_limit: float = 0.5
 
 
@@ -75,11 +78,12 @@ def any_failed(rules: HostRules) -> Column:
 
 
 def host_verdicts(rows: DataFrame, rules: HostRules = HostRules()) -> DataFrame:
-    """(host, n, f, rate, rejected) from rows of (host, failed).
+    """(host, n, f, rate, limit, rejected) from rows of (host, failed).
 
     The beta prior is fitted by moments over the hosts: mean m, and the
     variance of host rates beyond binomial noise gives the strength. One host
-    holding most rows is combined before the shuffle. A null host is a host.
+    holding most rows is combined before the shuffle. A null host is a host. Where hosts do not differ beyond noise the prior
+    is narrow and every rate shrinks to its mean, so none is rejected for being unlucky.
     """
     hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("failed").cast("long")).alias("f"))
     total = hosts.agg(F.sum("n").cast("double").alias("n"), F.sum("f").cast("double").alias("f"), F.count(F.lit(1)).cast("double").alias("h"),
@@ -91,16 +95,19 @@ def host_verdicts(rows: DataFrame, rules: HostRules = HostRules()) -> DataFrame:
         F.greatest(F.lit(1.0), F.col("mv") / F.greatest(F.col("between"), F.lit(1e-9)) - 1))
     prior = total.select(F.struct("m", strength.alias("s")).alias("prior"))
     rate = (F.col("f") + F.col("p.m") * F.col("p.s")) / (F.col("n") + F.col("p.s"))
-    return (hosts.withColumn("p", prior.scalar()).select("host", "n", "f", rate.alias("rate"))
-            .withColumn("rejected", F.col("rate") > rules.host_limit))
+    tail = F.col("p.m") + rules.deviations * F.sqrt(F.col("p.m") * (1 - F.col("p.m")) / (F.col("p.s") + 1))
+    limit = F.least(F.lit(rules.host_limit), F.greatest(F.lit(rules.least_limit), tail))
+    return (hosts.withColumn("p", prior.scalar()).select("host", "n", "f", rate.alias("rate"), limit.alias("limit"))
+            .withColumn("rejected", F.col("rate") > F.col("limit")))
 
 
 def judged(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame:
-    """doc_id, host, the signals, base_failed and kept of every row of ``docs`` (doc_id, text, source).
+    """doc_id, host, the signals, base_failed, host_rate and kept of every row of ``docs`` (doc_id, text, source).
 
     kept is false for a document that fails a base rule or whose host is
     rejected. A null text has no words (too short); a null source is a host
-    of its own; repeated rows count once each; an empty table gives no rows.
+    of its own; repeated rows count once each; an empty table gives no rows. Texts are read
+    whole, whatever their length; columns other than these three are not read, so names cannot clash.
     The narrow signals are written once, so the texts are read once.
     """
     spark = docs.sparkSession
@@ -108,7 +115,7 @@ def judged(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame:
     own = Scratch(spark, "host-rules").keep(own.withColumns({"base_failed": base_failed(rules), "failed": any_failed(rules)}))
     hosts, rows = _written(host_verdicts(own, rules))
     out = own.join(small(hosts, rows).withColumnRenamed("host", "h"), own["host"].eqNullSafe(F.col("h")), "left")
-    return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))).drop("h", "n", "f", "rejected", "failed")
+    return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))).withColumnRenamed("rate", "host_rate").drop("h", "n", "f", "limit", "rejected", "failed")
 
 
 def reject(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame:

@@ -46,7 +46,7 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return host_rules.judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return host_rules.judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("host_rate", 9).alias("host_rate"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,8 +142,9 @@ h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n,
       CAST(count(*) FILTER (base_failed OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines) AS DOUBLE) AS f FROM b GROUP BY source),
 m AS (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS q, count(*) / sum(n) AS c FROM h),
 p AS (SELECT m, CASE WHEN m * (1 - m) <= 0 THEN 1.0 ELSE greatest(1.0, m * (1 - m) / greatest(q - m * m - m * (1 - m) * c, 1e-9) - 1) END AS k FROM m),
-bad AS (SELECT source, (f + m * k) / (n + k) > 0.5 AS bad FROM h, p)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept
+rated AS (SELECT source, (f + m * k) / (n + k) AS rate, least(0.5, greatest(0.25, m + 2 * sqrt(m * (1 - m) / (k + 1)))) AS most FROM h, p),
+bad AS (SELECT source, rate, rate > most AS bad FROM rated)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept, round(rate, 9) AS host_rate
 FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 """
 

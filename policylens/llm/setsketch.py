@@ -269,18 +269,35 @@ class NearDuplicates:
         return out
 
 
-def one_of_each(docs: DataFrame, s: Sketching = Sketching()) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, ...) that stand for their component; of rows that repeat a doc_id, one.
+def row_node(docs: DataFrame) -> Column:
+    """A row's document: its doc_id (null included) together with its text."""
+    return F.xxhash64(docs["doc_id"], docs["doc_id"].isNull(), F.coalesce(docs["text"], F.lit("")))
+
 
-    Rows with a null doc_id all stay. Texts are shuffled only where the dropped ids outgrow a broadcast, or for repeated ids.
+def one_of_each(docs: DataFrame, s: Sketching = Sketching()) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) that stand for their group, all columns; every text that goes is linked with one that stays.
+
+    A document is a doc_id with a text, so rows that repeat an id with unlike
+    texts are judged apart and rows without an id are compared like all
+    others. Of a group the document of the smallest doc_id stays (a null
+    after all others, then the smaller hash); a text without words is a group of its own. Of rows that agree in id and
+    text one stays, the first by a hash of all columns (maps apart). Texts are shuffled only where the
+    nodes below outgrow a broadcast, or for repeated rows. An empty table gives no rows.
     """
-    found = NearDuplicates(docs, docs["doc_id"], docs["text"], s).result()
-    per_id = found.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
-    per_id = Scratch(docs.sparkSession, "near").keep(per_id.where("_id != c or n > 1"))
-    gone, again = per_id.where("_id != c").select("_id"), per_id.where("_id = c").select("_id")
-    n_gone, n_again = gone.count(), again.count()
-    out = docs.join(small(gone, n_gone), docs["doc_id"] == gone["_id"], "left_anti")
+    node, scratch = row_node(docs), Scratch(docs.sparkSession, "groups")
+    found = NearDuplicates(docs, node, docs["text"], s).result()
+    nodes = scratch.keep(found.groupBy(F.col("doc_id").alias("_node")).agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n")).where("_node != c or n > 1"))
+    far = nodes.where("_node != c").select("_node", "c")
+    members = scratch.keep(far.union(far.select(F.col("c").alias("_node"), "c").distinct()))
+    ids = docs.select(docs["doc_id"].alias("id"), node.alias("_at")).join(members, F.col("_at") == F.col("_node")).select("c", F.struct(F.col("id").isNull(), "id", "_node").alias("k"))
+    stays = scratch.keep(ids.groupBy("c").agg(F.min("k")["_node"].alias("_stays")).select("_stays"))
+    goes = scratch.keep(members.join(stays, F.col("_node") == F.col("_stays"), "left_anti").select("_node"))
+    out = docs.join(small(goes, goes.count()), node == goes["_node"], "left_anti")
+    again = nodes.where("n > 1").select("_node")
+    n_again = again.count()
     if not n_again:
         return out
-    repeated = out.join(small(again, n_again), out["doc_id"] == again["_id"], "left_semi").dropDuplicates(["doc_id"])
-    return out.join(small(again, n_again), out["doc_id"] == again["_id"], "left_anti").unionAll(repeated)
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+    order = F.xxhash64(*[docs[f"`{c}`"] for c, kind in docs.dtypes if "map<" not in kind])
+    repeated = out.join(small(again, n_again), node == again["_node"], "left_semi").groupBy(node.alias("_node")).agg(F.min_by(row, order).alias("row")).select("row.*")
+    return out.join(small(again, n_again), node == again["_node"], "left_anti").unionAll(repeated)

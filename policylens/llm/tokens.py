@@ -39,21 +39,32 @@ def _plain_byte_level(spec: dict) -> bool:
             and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")))
 
 
+def _apart(added: list[dict]) -> bool:
+    """Whether the file's added tokens are found by their bare strings, none inside another."""
+    names = [t["content"] for t in added]
+    return not any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word")) and not any(a in b for a in names for b in names if a is not b)
+
+
 def encoder(path: str) -> Callable[[str], list[int]]:
-    """Whole text -> its ids, without special tokens; strings of special tokens in a text are ordinary text."""
+    """Whole text -> its ids, none added; an added token's string inside the text is that token, as ``tokenizers`` has it."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    if _plain_byte_level(spec):
+    if _plain_byte_level(spec) and _apart(spec.get("added_tokens") or []):
         import tiktoken
 
-        letters, added = byte_letters(), {t["content"] for t in spec.get("added_tokens", [])}
+        letters, added = byte_letters(), {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         ranks = {bytes(letters[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in added}
         merged = [left + right for left, right in (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])]
         order = [spec["model"]["vocab"][token] for token in merged]
         if order == sorted(order):
-            encode = tiktoken.Encoding("byte_level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            made = tiktoken.Encoding("byte_level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=added)
             whole = cache(lambda: _tokenizers(path))
-            return lambda text: whole()(text) if len(text) >= RUN and LONG_RUN.search(text) else encode(text)
+
+            def encode(text: str) -> list[int]:
+                if len(text) >= RUN and LONG_RUN.search(text):
+                    return whole()(text)
+                return made.encode(text, allowed_special="all") if any(t in text for t in added) else made.encode_ordinary(text)
+            return encode
     return _tokenizers(path)
 
 
@@ -61,5 +72,4 @@ def _tokenizers(path: str) -> Callable[[str], list[int]]:
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
     return lambda text: made.encode(text, add_special_tokens=False).ids

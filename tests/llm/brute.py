@@ -41,6 +41,13 @@ def components(rows, n):
     return label
 
 
+def one_of_each(rows, n):
+    """(id, text) of the document that stays of each group; a document is an id with a text."""
+    docs = sorted({(i, t or "") for i, t in rows}, key=lambda d: (d[0] is None, d[0] or 0, d[1]))
+    label = components([(k, t) for k, (_, t) in enumerate(docs)], n)
+    return [d for k, d in enumerate(docs) if label[k] == k]
+
+
 def kept_words(texts, width=35):
     """What is left of each text, as a list of words."""
     all_words = [words(t) for t in texts]

@@ -41,6 +41,25 @@ def test_bad_host_is_rejected(spark):
     assert got.where("kept").count() == 200
 
 
+def test_hosts_on_both_sides(spark, tmp_path):
+    """A host far from what hosts are like goes below the absolute limit, a small one is shrunk, and SQL agrees row by row."""
+    duckdb = pytest.importorskip("duckdb")
+    good, n = " ".join(f"word{k}" for k in range(30)), 0
+    data = []
+    for host, rows, failed in [*[(f"h{k}", 100, 4 + k % 3) for k in range(40)], ("bad", 200, 90), ("worse", 50, 45), ("tiny", 3, 1), (None, 60, 3)]:
+        data += [(n + k, "short" if k < failed else good, host) for k in range(rows)]
+        n += rows
+    spark.createDataFrame(data, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(queries.SQL5)
+    got = queries.op5_host_rules(spark, str(tmp_path)).select(*want.columns)
+    same(got.collect(), want.fetchall())
+    decided = got.where("not kept and not base_failed").join(spark.read.parquet(str(tmp_path / "documents.parquet")), "doc_id").groupBy("source").count().collect()
+    assert {tuple(r) for r in decided} == {("bad", 110), ("worse", 5)}
+    assert host_rules.reject(spark.read.parquet(str(tmp_path / "documents.parquet"))).count() == got.where("kept").count()
+
+
 def test_near_duplicates(docs, rows, empty):
     for n in (2, 5):
         got = setsketch.NearDuplicates(docs, docs["doc_id"], docs["text"], setsketch.Sketching(shingle=n)).result().collect()
@@ -48,9 +67,8 @@ def test_near_duplicates(docs, rows, empty):
         same(got, [(i, len(brute.shingles(t, n)), label.get(i), i is None or label[i] == i) for i, t in rows])
     out = setsketch.one_of_each(docs)
     assert out.columns == docs.columns
-    ids = [r[0] for r in out.select("doc_id").collect()]
-    label = brute.components(rows, 5)
-    assert Counter(ids) == Counter([i for i in label if label[i] == i] + [None, None])
+    assert Counter((r.doc_id, r.text or "") for r in out.select("doc_id", "text").collect()) == Counter(brute.one_of_each(rows, 5))
+    assert setsketch.one_of_each(empty).count() == 0
     assert setsketch.NearDuplicates(empty, empty["doc_id"], empty["text"]).result().count() == 0
 
 
@@ -171,7 +189,6 @@ def test_assign_fills_every_sequence_and_balances():
 def test_pack_query_against_tokenizers(docs, rows, empty):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
     want = Counter()
     ids = {}
     for i, text in rows:
@@ -196,7 +213,6 @@ def test_pack_query_against_tokenizers(docs, rows, empty):
 def test_encoder_equals_tokenizers():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
     encode = tokens.encoder(queries.tokenizer_path())
     texts = [f"a{chr(c)}b {chr(c)}1 {chr(c)}{chr(c)} {chr(c)}" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
     texts += ["a  b", " \n x ", "<|endoftext|> it's 'll", "", "é ñ 你好 😀 x" * 50]
@@ -207,7 +223,6 @@ def test_encoder_equals_tokenizers():
 def test_encoder_of_long_white_space(run):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
     text = f"one{run}two \n three"
     assert tokens.encoder(queries.tokenizer_path())(text) == t.encode(text, add_special_tokens=False).ids
 
@@ -368,9 +383,28 @@ def test_chat_layouts_and_round_trip(spark):
 
 def test_chat_records_of_rows(spark):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (2, 1, "b", "x"), (2, 1, "a", "y"), (2, None, None, "z"), (None, 0, "user", "n"), (3, 5, "user", "u"), (3, 5, "user", "u")]
+    named = [(k, t, role, f"{role} says") for k in (10, 11) for t, role in enumerate(("human", "gpt", "tool", "assistant", "user"))]
+    rows += named + [(13, t, role, role) for t, role in enumerate(("user", "assistant", "user"))]
     df = chat.formatted_conversations(chat.conversation_records(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
     got = {r.conv_id: [tuple(t) for t in r.turns] for r in df.collect()}
-    assert got == {1: [("user", "q"), ("assistant", "")], 2: [("", "z"), ("a", "y"), ("b", "x")], None: [("user", "n")], 3: [("user", "u"), ("user", "u")]}
+    assert got == {1: [("user", "q"), ("assistant", "")], 2: [("", "z"), ("a", "y"), ("b", "x")], None: [("user", "n")], 3: [("user", "u"), ("user", "u")]} | {
+        k: [(role, f"{role} says") for role in ("human", "gpt", "tool", "assistant", "user")] for k in (10, 11)} | {13: [("user", "user"), ("assistant", "assistant"), ("user", "user")]}
+    assert chat.formatted_conversations(chat.conversation_records(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+    clash = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], "conv_id long, turn long, role string, text string, t string, roles string, record string")
+    assert {r.conv_id: [tuple(t) for t in r.turns] for r in chat.formatted_conversations(chat.conversation_records(clash)).collect()} == got
+
+
+def test_chat_query_on_other_roles(spark, tmp_path):
+    """Roles human, gpt and tool of a table are read back as they are, and none of them is under the loss mask."""
+    duckdb = pytest.importorskip("duckdb")
+    rows = [(k, t, role, f"{role} # {k}") for k in range(4) for t, role in enumerate(("human", "gpt", "tool", "user", "assistant")[k:] if k < 3 else ("user", "assistant"))]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.sql(queries.SQL10)
+    got = queries.op10_chat(spark, str(tmp_path)).select(*want.columns)
+    same(got.collect(), want.fetchall())
+    assert {r.conv_id: r.loss_chars for r in got.collect()}[0] == len("assistant # 0")
 
 
 def test_chat_odd_records(spark):
@@ -419,3 +453,27 @@ def test_pipeline_against_plain_version(spark):
         have[r.doc_id] += r.length
     assert have == want
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][-1] == "packing"
+
+
+def test_every_text_that_goes_has_a_relative_that_stays(spark):
+    """Ids that repeat with unlike texts, and rows without an id."""
+    r = random.Random(9)
+    one, two, three = ([f"w{r.randrange(10 ** 6)}" for _ in range(60)] for _ in range(3))
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join([*two, "more"])), (None, " ".join(three)), (None, " ".join(three)), (None, " ".join([*three, "x"])), (7, None), (7, None), (8, "")]
+    docs = spark.createDataFrame([(*x, {"a": k}, k) for k, x in enumerate(rows)], "doc_id long, text string, _node map<string,int>, c int")
+    out = setsketch.one_of_each(docs)
+    got = [(x.doc_id, x.text or "") for x in out.collect()]
+    assert out.columns == docs.columns and len(got) == 5
+    assert {(1, rows[0][1]), (1, rows[1][1]), (7, ""), (8, "")} < set(got) and sum(i is None and t.split()[:60] == three for i, t in got) == 1
+
+
+def test_pipeline_on_odd_rows(spark, docs, empty, tmp_path):
+    """run() on nulls, repeats, ties, long and empty texts and clashing names, and on a table without rows."""
+    for name, table in (("some", docs), ("none", empty)):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / name))
+        assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} <= set(out.columns)
+        kept = docs.limit(0) if name == "none" else corpus_pipeline.quality_rules(spark, docs, "")
+        kept = setsketch.one_of_each(kept)
+        assert {r[0] for r in out.select("doc_id").collect()} == {r[0] for r in kept.select("doc_id").collect()}
+    assert out.count() == 0
