@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from policylens.functions import dims
 from policylens.operators.quantiles import kth_smallest
+from policylens.operators.radix import kth_text
 from policylens.session import settle
 
 DEFAULT_WINDOW_DAYS = 30
@@ -55,16 +56,14 @@ def _boundary_tie(ties: DataFrame, group: str, tie_col: str) -> DataFrame:
     """(group, _tie): the id of rank ``_tb - 1`` among rows (group, tie_col, _tb) that share a timestamp.
 
     An integer id is found by selection, its upper half first and then the
-    lower among the ids of that upper half (a double holds either exactly).
-    Ids of another type are ranked by a window.
+    lower among the ids of that upper half (a double holds either exactly); a
+    text id by its bytes. No rows are ranked.
     """
+    ranks = ties.groupBy(group).agg((F.first("_tb") - 1).alias("k"))
     if not isinstance(ties.schema[tie_col].dataType, T.IntegralType):
-        w = Window.partitionBy(group).orderBy(tie_col)
-        return ties.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == F.col("_tb")).select(
-            group, F.col(tie_col).alias("_tie"))
+        return kth_text(ties, [group], tie_col, ranks).select(group, F.col("value").cast(ties.schema[tie_col].dataType).alias("_tie"))
     halves = ties.select(group, F.shiftright(F.col(tie_col).cast("long"), 32).alias("_high"),
                          F.col(tie_col).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).alias("_low"))
-    ranks = ties.groupBy(group).agg((F.first("_tb") - 1).alias("k"))
     high = kth_smallest(halves, [group], "_high", ranks).select(
         group, F.col("value").cast("long").alias("_h"), F.col("ties_before").alias("k"))
     low = kth_smallest(halves.join(high, group).where(F.col("_high") == F.col("_h")), [group], "_low", high)
@@ -72,6 +71,22 @@ def _boundary_tie(ties: DataFrame, group: str, tie_col: str) -> DataFrame:
         group, (F.shiftleft("_h", 32) + F.col("value").cast("long")).alias("_tie"))
 
 
+def split_cuts(history: DataFrame, ranks: DataFrame, group: str = "model_id", order_col: str = "created_at",
+               tie_col: str = "pricing_id") -> DataFrame:
+    """(group, _cut, _tie): time in microseconds and id of the last row before rank ``k`` of each group of ``ranks`` (group, k)."""
+    h = history.select(group, _micros(F.col(order_col)).alias("_t"), tie_col)
+    cut = kth_smallest(h, [group], "_t", ranks).select(
+        group, F.col("value").cast("long").alias("_cut"), F.col("ties_before").alias("_tb"))
+    ties = settle(h.join(cut.where(F.col("_tb") > 0), group).where(F.col("_t") == F.col("_cut")).select(group, tie_col, "_tb"), "ties")
+    return settle(cut.join(_boundary_tie(ties, group, tie_col), group, "left").drop("_tb"), "cuts")
+
+
+def before_cut(order_col: str = "created_at", tie_col: str = "pricing_id") -> Column:
+    """Whether a row lies before its group's cut; false where the group has no cut."""
+    t = _micros(F.col(order_col))
+    return F.coalesce((t < F.col("_cut")) | ((t == F.col("_cut")) & (F.col(tie_col) <= F.col("_tie"))), F.lit(False))
+
+
 def period_split(history: DataFrame, group: str = "model_id", order_col: str = "created_at",
                  tie_col: str = "pricing_id") -> DataFrame:
     """Add ``period`` = 'reference' for the first n//2 rows of each group
@@ -80,16 +95,10 @@ def period_split(history: DataFrame, group: str = "model_id", order_col: str = "
     Only the boundary (one row per group) is computed and written; the rows
     are classified by comparison wherever the result is read.
     """
-    h = history.withColumn("_t", _micros(F.col(order_col)))
-    ranks = h.groupBy(group).agg((F.count(F.lit(1)) / 2).cast("long").alias("k"))
-    cut = kth_smallest(h, [group], "_t", ranks).select(
-        group, F.col("value").cast("long").alias("_cut"), F.col("ties_before").alias("_tb"))
-    ties = h.select(group, "_t", tie_col).join(cut.where(F.col("_tb") > 0), group).where(
-        F.col("_t") == F.col("_cut")).select(group, tie_col, "_tb")
-    cut = settle(cut.join(_boundary_tie(ties, group, tie_col), group, "left").drop("_tb"), "cuts")
-    first = (F.col("_t") < F.col("_cut")) | ((F.col("_t") == F.col("_cut")) & (F.col(tie_col) <= F.col("_tie")))
-    return h.join(cut, group).withColumn(
-        "period", F.when(first, "reference").otherwise("current")).drop("_t", "_cut", "_tie")
+    ranks = history.groupBy(group).agg((F.count(F.lit(1)) / 2).cast("long").alias("k"))
+    cut = split_cuts(history, ranks, group, order_col, tie_col)
+    return history.join(cut, group).withColumn(
+        "period", F.when(before_cut(order_col, tie_col), "reference").otherwise("current")).drop("_cut", "_tie")
 
 
 def period_bounds(split: DataFrame, group: str = "model_id") -> DataFrame:
@@ -121,55 +130,43 @@ def performance(history: DataFrame, pred: str = "base_premium", actual: str = "f
 _NUMERIC_TYPES = r"^(BIGINT|INT|INTEGER|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$"
 
 
-def feature_values(split: DataFrame, col: str = "input_features") -> DataFrame:
-    """F26 + explode: (model_id, period, feature, value, kind) from JSON text."""
+def feature_values(rows: DataFrame, col: str = "input_features") -> DataFrame:
+    """F26 + explode: (model_id, period if the rows have one, feature, value, kind) from JSON text."""
     m = F.from_json(F.col(col), "map<string,variant>")
-    e = split.select("model_id", "period", F.explode(m).alias("feature", "_v"))
+    keys = [c for c in ("model_id", "period") if c in rows.columns]
+    e = rows.select(*keys, F.explode(m).alias("feature", "_v"))
     typ = F.schema_of_variant("_v")
     kind = (F.when(F.is_variant_null("_v"), "null").when(typ.rlike(_NUMERIC_TYPES), "number")
             .when(typ == "BOOLEAN", "boolean").otherwise("other"))
-    return e.select("model_id", "period", "feature",
-                    F.try_variant_get("_v", "$", "double").alias("value"), kind.alias("kind"))
+    return e.select(*keys, "feature", F.try_variant_get("_v", "$", "double").alias("value"), kind.alias("kind"))
 
 
-def numeric_features(values: DataFrame) -> DataFrame:
-    """P10: keys whose non-null values are all numbers (or all booleans)."""
-    g = values.groupBy("model_id", "feature").agg(
-        F.count_if(F.col("kind") != "null").alias("n_set"),
-        F.count_if(F.col("kind") == "number").alias("n_num"),
-        F.count_if(F.col("kind") == "boolean").alias("n_bool"))
-    return g.where((F.col("n_num") == F.col("n_set")) | (F.col("n_bool") == F.col("n_set"))).select(
-        "model_id", "feature")
+def kind_counts(n: Column | None = None) -> list[Column]:
+    """n_set, n_num, n_bool of rows that carry ``kind`` (and count for ``n``)."""
+    one = F.lit(1) if n is None else n
+    of = lambda kind: F.coalesce(F.sum(F.when(kind, one)), F.lit(0))
+    return [of(F.col("kind") != "null").alias("n_set"), of(F.col("kind") == "number").alias("n_num"), of(F.col("kind") == "boolean").alias("n_bool")]
 
 
-def numeric_long(split: DataFrame) -> DataFrame:
-    """(model, period, feature, value) for numeric keys.
+def is_numeric() -> Column:
+    """P10: the key's non-null values are all numbers, or all booleans."""
+    return (F.col("n_num") == F.col("n_set")) | (F.col("n_bool") == F.col("n_set"))
 
-    The JSON is parsed once: the parsed values are checkpointed to the
-    shared folder, and the key check, statistics, bounds and bin counts all
-    read that table instead of re-parsing the log (which also cuts lineage).
-    """
-    vals = feature_values(split).checkpoint(eager=True)
-    # Written, so that its size in bytes decides the join: the values are not shuffled while the key list is small.
-    keep = settle(numeric_features(vals), "numeric-keys")
-    return vals.join(keep, ["model_id", "feature"], "left_semi").select(
-        "model_id", "period", "feature", "value")
+
+def numeric_features(values: DataFrame) -> DataFrame:
+    """P10: keys whose non-null values are all numbers (or all booleans)."""
+    return values.groupBy("model_id", "feature").agg(*kind_counts()).where(is_numeric()).select("model_id", "feature")
 
 
 def _rel(cur: Column, ref: Column) -> Column:
     return F.when(ref != 0, (cur - ref) / ref).when(ref == 0, F.lit(0.0))
 
 
-def drift_stats(long: DataFrame) -> DataFrame:
-    """D2 + D3: per (model, feature) statistics of both halves and relative
-    differences, by conditional aggregation in one grouped pass."""
-    v = F.col("value")
-    ref, cur = F.col("period") == "reference", F.col("period") == "current"
-    g = long.groupBy("model_id", "feature").agg(
-        F.avg(F.when(ref, v)).alias("ref_mean"), F.stddev_samp(F.when(ref, v)).alias("ref_std"),
-        F.min(F.when(ref, v)).alias("ref_min"), F.max(F.when(ref, v)).alias("ref_max"),
-        F.avg(F.when(cur, v)).alias("cur_mean"), F.stddev_samp(F.when(cur, v)).alias("cur_std"),
-        F.min(F.when(cur, v)).alias("cur_min"), F.max(F.when(cur, v)).alias("cur_max"))
+DIFFERENCES = ("mean_diff", "std_diff", "range_diff")
+
+
+def with_differences(g: DataFrame) -> DataFrame:
+    """D3: relative differences of both halves' statistics."""
     rr = F.col("ref_max") - F.col("ref_min")
     cr = F.col("cur_max") - F.col("cur_min")
     return g.select("*", _rel(F.col("cur_mean"), F.col("ref_mean")).alias("mean_diff"),
@@ -177,6 +174,27 @@ def drift_stats(long: DataFrame) -> DataFrame:
                     F.when(rr != 0, (cr - rr) / rr).when(rr == 0, F.lit(0.0)).alias("range_diff"))
 
 
+def _half_stats() -> list[Column]:
+    out, v = [], F.col("value")
+    for name, period in (("ref", "reference"), ("cur", "current")):
+        own = F.when(F.col("period") == period, v)
+        out += [F.avg(own).alias(f"{name}_mean"), F.stddev_samp(own).alias(f"{name}_std"), F.min(own).alias(f"{name}_min"), F.max(own).alias(f"{name}_max")]
+    return out
+
+
+def drift_stats(long: DataFrame) -> DataFrame:
+    """D2 + D3: per (model, feature) statistics of both halves and relative
+    differences, by conditional aggregation in one grouped pass."""
+    return with_differences(long.groupBy("model_id", "feature").agg(*_half_stats()))
+
+
+def feature_stats(split: DataFrame) -> DataFrame:
+    """D2 + D3 of the numeric keys (P10), with ``_lo`` and ``_hi`` over both halves: the log is parsed once, kinds and
+    moments are counted together, and only one row per (model, feature) is written."""
+    g = feature_values(split).groupBy("model_id", "feature").agg(*kind_counts(), *_half_stats(), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    return settle(with_differences(g.where(is_numeric()).drop("n_set", "n_num", "n_bool")), "feature-stats")
+
+
 def bin_index(v: Column, lo: Column, hi: Column, bins: int = BIN_COUNT) -> Column:
     """Equal-width bin of v in [lo, hi]; last bin closed; lo == hi -> last bin.
     Edge i is lo + i * ((hi - lo) / bins), compared like a sorted-edge search."""
@@ -188,17 +206,8 @@ def bin_index(v: Column, lo: Column, hi: Column, bins: int = BIN_COUNT) -> Colum
     return total
 
 
-def psi(long: DataFrame, bins: int = BIN_COUNT) -> DataFrame:
-    """Population stability index per (model, feature)."""
-    v = F.col("value")
-    vals = long.where(v.isNotNull())
-    # As the key list above: the values meet their bounds without a shuffle while the bounds are small.
-    bounds = settle(vals.groupBy("model_id", "feature").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")), "bounds")
-    b = bin_index(v, F.col("_lo"), F.col("_hi"), bins)
-    counts = (vals.join(bounds, ["model_id", "feature"])
-              .groupBy("model_id", "feature", b.alias("bin"))
-              .agg(F.count_if(F.col("period") == "reference").alias("_rc"),
-                   F.count_if(F.col("period") == "current").alias("_cc")))
+def psi_of_counts(bounds: DataFrame, counts: DataFrame, bins: int = BIN_COUNT) -> DataFrame:
+    """D4 from ``bounds`` (one row per (model, feature)) and ``counts`` (model_id, feature, bin, _rc, _cc)."""
     scaffold = bounds.select("model_id", "feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = scaffold.join(counts, ["model_id", "feature", "bin"], "left").fillna(0, ["_rc", "_cc"])
     w = Window.partitionBy("model_id", "feature")
@@ -215,10 +224,32 @@ def psi(long: DataFrame, bins: int = BIN_COUNT) -> DataFrame:
         .otherwise(F.sum(term)).alias("psi"))
 
 
+def psi(long: DataFrame, bounds: DataFrame | None = None, bins: int = BIN_COUNT) -> DataFrame:
+    """Population stability index per (model, feature); ``bounds`` (model_id, feature, _lo, _hi): those of the keys
+    to take, found in one more pass if None."""
+    v = F.col("value")
+    vals = long.where(v.isNotNull())
+    if bounds is None:
+        # Written, so that its size in bytes decides the join: the values meet their bounds without a shuffle while those are small.
+        bounds = settle(vals.groupBy("model_id", "feature").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")), "bounds")
+    b = bin_index(v, F.col("_lo"), F.col("_hi"), bins)
+    counts = (vals.join(bounds, ["model_id", "feature"])
+              .groupBy("model_id", "feature", b.alias("bin"))
+              .agg(F.count_if(F.col("period") == "reference").alias("_rc"),
+                   F.count_if(F.col("period") == "current").alias("_cc")))
+    return psi_of_counts(bounds, counts, bins)
+
+
+def feature_psi(split: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """D4 of the numeric keys: the values are parsed again and only partial bin counts are exchanged."""
+    stats = feature_stats(split) if stats is None else stats
+    return psi(feature_values(split), stats.where(F.col("_lo").isNotNull()).select("model_id", "feature", "_lo", "_hi"))
+
+
 def feature_drift(split: DataFrame) -> DataFrame:
-    """D2-D4 combined per (model, feature)."""
-    long = numeric_long(split)
-    return drift_stats(long).join(psi(long), ["model_id", "feature"], "left")
+    """D2-D4 combined per (model, feature): two passes over the log and no table of its values."""
+    stats = feature_stats(split)
+    return stats.drop("_lo", "_hi").join(feature_psi(split, stats), ["model_id", "feature"], "left")
 
 
 def prediction_long(split: DataFrame, col: str = "final_premium") -> DataFrame:

@@ -87,6 +87,22 @@ def q_period_split(spark, sf_dir):
     return _split(fixtures(spark, sf_dir)).select("pricing_id", "model_id", "period")
 
 
+# Text ids, and one time for all requests of four hours, as a log has whose rows are stamped by the batch.
+_TEXT_LOG = """SELECT md5(CAST(pricing_id AS STRING)) AS pricing_id, model_id,
+  date_trunc('day', created_at) + INTERVAL 4 HOUR * CAST(floor(hour(created_at) / 4) AS INT) AS created_at FROM fx_pricing_history"""
+
+
+@query("period_split_text_ids", oracle=_W + f"""
+SELECT pricing_id, model_id, CASE WHEN rn <= n // 2 THEN 'reference' ELSE 'current' END AS period FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY created_at, pricing_id) AS rn, count(*) OVER (PARTITION BY model_id) AS n
+  FROM ({_TEXT_LOG}) WHERE created_at >= TIMESTAMP '{LOG_AS_OF}' - INTERVAL {WINDOW_DAYS} DAY)""")
+def q_period_split_text_ids(spark, sf_dir):
+    """W1 where the boundary lies among thousands of equal timestamps and ids are texts."""
+    fixtures(spark, sf_dir)
+    log = spark.sql(_TEXT_LOG)
+    return M.period_split(M.history_window(log, LOG_AS_OF, WINDOW_DAYS)).select("pricing_id", "model_id", "period")
+
+
 @query("period_bounds", oracle=_W + f"""
 SELECT model_id, period, min(created_at) AS first_ts, max(created_at) AS last_ts, count(*) AS n
 FROM ({_SPLIT}) GROUP BY 1, 2""")
@@ -126,17 +142,18 @@ def q_json_features(spark, sf_dir):
 
 @query("numeric_features", oracle=_W + _NUMERIC_KEYS)
 def q_numeric_features(spark, sf_dir):
-    return M.numeric_features(M.feature_values(_split(fixtures(spark, sf_dir))))
+    """P10: needs the window's rows alone, not their halves."""
+    return M.numeric_features(M.feature_values(M.history_window(fixtures(spark, sf_dir).pricing_history, LOG_AS_OF, WINDOW_DAYS)))
 
 
 @query("feature_drift_stats", oracle=rnd(_W + _stats_sql(_FEATURE_LONG), _STAT_COLS))
 def q_feature_drift_stats(spark, sf_dir):
-    return rounded(M.drift_stats(M.numeric_long(_split(fixtures(spark, sf_dir)))))
+    return rounded(M.feature_stats(_split(fixtures(spark, sf_dir))).drop("_lo", "_hi"))
 
 
 @query("feature_psi", oracle=rnd(_W + _psi_sql(_FEATURE_LONG), ["psi"]))
 def q_feature_psi(spark, sf_dir):
-    return rounded(M.psi(M.numeric_long(_split(fixtures(spark, sf_dir)))))
+    return rounded(M.feature_psi(_split(fixtures(spark, sf_dir))))
 
 
 _PRED_LONG = f"SELECT model_id, period, 'final_premium' AS feature, final_premium AS value FROM ({_SPLIT})"
