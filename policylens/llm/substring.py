@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from policylens.llm import rolling
@@ -115,10 +115,18 @@ def _stretches(batch: pa.RecordBatch, p: Passages):
     return row[order], starts[first], starts[last], phrases[order], spread[order], offsets, ids
 
 
+def _parts(rid: np.ndarray, start: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """The part of its phrase's shard, 0 to spread - 1, to which a stretch is dealt."""
+    mixed = rolling.mix(rid.astype(np.uint64) * rolling.BASE + start.astype(np.uint64) * rolling.OTHER)
+    return (mixed % spread.astype(np.uint64)).astype(np.int32)
+
+
 def _window_rows(p: Passages):
+    """Each window of each stretch, with the stretch's part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rolling.pieces(batches, "ids"):
-            row, first, last, phrase, spread, _, ids = _stretches(batch, p)
+            row, first, last, phrase, spread, offsets, ids = _stretches(batch, p)
+            part = _parts(batch.column("rid").to_numpy()[row], first - offsets[row], spread)
             hashes = rolling.windows(ids, p.width)
             n = last - first + 1
             cuts = np.concatenate([[0], np.cumsum(n)])
@@ -126,8 +134,8 @@ def _window_rows(p: Passages):
             for a in range(0, len(take), 1 << 20):
                 z = slice(a, a + (1 << 20))
                 which = np.repeat(np.arange(len(n)), n)[z]
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[take[z]].view(np.int64)), pa.array(phrase[which]), pa.array(spread[which])],
-                                                 ["window", "phrase", "spread"])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[take[z]].view(np.int64)), pa.array(phrase[which]), pa.array(spread[which]), pa.array(part[which])],
+                                                 ["window", "phrase", "spread", "part"])
     return run
 
 
@@ -136,15 +144,15 @@ def _stretch_rows(p: Passages):
         for batch in rolling.pieces(batches, "ids"):
             row, first, last, phrase, spread, offsets, ids = _stretches(batch, p)
             rid, hashes = batch.column("rid").to_numpy(), rolling.windows(ids, p.width).astype("<u8")
-            symbols = ids.astype("<u8").astype("<u4")
+            symbols, part = ids.astype("<u8").astype("<u4"), _parts(rid[row], first - offsets[row], spread)
             for a in range(0, len(first), 1 << 14):
                 z = slice(a, a + (1 << 14))
                 ends = list(zip(first[z].tolist(), last[z].tolist(), strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid[row[z]]), pa.array((first - offsets[row])[z].astype(np.int32)), pa.array(phrase[z]), pa.array(spread[z]),
+                    [pa.array(rid[row[z]]), pa.array((first - offsets[row])[z].astype(np.int32)), pa.array(phrase[z]), pa.array(spread[z]), pa.array(part[z]),
                      pa.array([symbols[x:y + p.width].tobytes() for x, y in ends], pa.binary()),
                      pa.array([hashes[x:y + 1].tobytes() for x, y in ends], pa.binary())],
-                    ["rid", "start", "phrase", "spread", "symbols", "windows"])
+                    ["rid", "start", "phrase", "spread", "part", "symbols", "windows"])
     return run
 
 
@@ -229,7 +237,9 @@ class Repeats:
     Rows are told apart by doc_id and text. A null or short text (under
     ``width`` words) keeps everything; a text that another row repeats wholly
     loses everything, as does a row that is there twice; a null doc_id is an
-    id like any other; an empty table gives no rows.
+    id like any other; an empty table gives no rows. Texts are whole, however long: a long one's stretches are
+    dealt to many groups. Of overlapping passages each word counts once; no tie decides anything, as windows are judged
+    by their words alone. Columns other than the id and the text are not read, and ``cleaned`` returns them as they are.
     """
 
     def __init__(self, docs: DataFrame, doc_id: Column, text: Column, p: Passages = Passages()):
@@ -262,11 +272,14 @@ class Repeats:
         source = self.some.select("rid", word_ids(F.col("text")).alias("ids"), "places", "phrases", "spread")
         shards = max(1, -(-size[1] // p.shard))
         shard = F.when(F.col("spread") > 1, -1 - F.pmod("phrase", F.lit(1 << 40))).otherwise(F.pmod("phrase", F.lit(shards)))
-        confirmed = (source.mapInArrow(_window_rows(p), "window bigint, phrase bigint, spread int")
-                     .select("window", shard.alias("shard"), "spread").groupBy("window", "shard", "spread").agg(F.count(F.lit(1)).alias("n"))
-                     .where("n > 1").select("window", "shard", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("part")))
-        stretches = (source.mapInArrow(_stretch_rows(p), "rid bigint, start int, phrase bigint, spread int, symbols binary, windows binary")
-                     .select("rid", "start", "symbols", "windows", shard.alias("shard"), F.pmod(F.xxhash64("rid", "start"), "spread").cast("int").alias("part")))
+        # a part of a hot phrase's shard gets the confirmed windows of its own stretches alone, so rows grow with the stretches
+        counted = put(source.mapInArrow(_window_rows(p), "window bigint, phrase bigint, spread int, part int")
+                      .select("window", shard.alias("shard"), "spread", "part").groupBy("window", "shard", "spread", "part").agg(F.count(F.lit(1)).alias("n"))
+                      .where("n > 1 or spread > 1"), "counted")
+        total = F.sum("n").over(Window.partitionBy("window", "shard"))
+        confirmed = counted.withColumn("total", total).where("total > 1").select("window", "shard", "part")
+        stretches = (source.mapInArrow(_stretch_rows(p), "rid bigint, start int, phrase bigint, spread int, part int, symbols binary, windows binary")
+                     .select("rid", "start", "symbols", "windows", shard.alias("shard"), "part"))
         spans = (stretches.groupBy("shard", "part").cogroup(confirmed.groupBy("shard", "part"))
                  .applyInArrow(_locate(p), "rid bigint, from_word bigint, to_word bigint"))
         spans = spans.groupBy("rid").agg(F.collect_list(F.struct("from_word", "to_word")).alias("spans"))

@@ -149,6 +149,35 @@ def test_hot_phrase_of_one_text_is_spread(spark, monkeypatch):
     same(substring.Repeats(docs, docs["doc_id"], docs["text"], substring.Passages(shard=256)).digests().collect(), want)
 
 
+def test_rows_of_a_hot_phrase_grow_in_proportion(spark, monkeypatch):
+    """Documents of their own words around one notice: what reaches the automata doubles with the documents."""
+    r, rows = random.Random(6), {}
+    notice = " ".join(f"n{k}" for k in range(34))
+    locate = substring._locate
+
+    def counting(p):
+        run = locate(p)
+
+        def counted(stretches, confirmed):
+            with open(seen, "a") as f:
+                f.write(f"{len(stretches)} {len(confirmed)}\n")
+            return run(stretches, confirmed)
+        return counted
+
+    monkeypatch.setattr(substring, "_locate", counting)
+    for n in (128, 256, 512):
+        import tempfile
+        seen = tempfile.mkstemp(prefix="stretches-")[1]
+        texts = [(k, " ".join(f"a{r.randrange(8)}" for _ in range(3)) + f" {notice} " + " ".join(f"b{r.randrange(8)}" for _ in range(3))) for k in range(n)]
+        docs = spark.createDataFrame(texts, "doc_id long, text string")
+        want = [(k, len(brute.words(t)), len(brute.words(t)) - len(left), brute.sha(" ".join(left))) for (k, t), left in zip(texts, brute.kept_words([t for _, t in texts]), strict=True)]
+        same(substring.Repeats(docs, docs["doc_id"], docs["text"], substring.Passages(shard=16)).digests().collect(), want)
+        with open(seen) as f:
+            rows[n] = np.array([line.split() for line in f], int).sum(0)
+    for n in (128, 256):
+        assert (rows[2 * n] <= 2.6 * rows[n]).all() and (rows[n] > 0).all()
+
+
 def test_window_hashes_depend_on_their_ids_alone():
     ids = np.array([5, 6, 7, 8, 9, 5, 6, 7, 8, 9], np.int32)
     for width in (1, 2, 3, 5):
