@@ -27,13 +27,17 @@ PUNCTUATION = ".,;:!?\"'()[]{}*#$%&|<>-_/\\"
 
 @dataclass(frozen=True)
 class Machine:
-    """per_class: labelled documents of each class (the sample's bound). terms: most terms kept, those that tell the
-    classes apart best. evidence: the least chi-square of a kept term. beginning: letters of a word beginning. rank, epochs, rate, decay: of the fit.
-    hidden: share of a document's terms hidden at random in each step, so that few signs suffice."""
+    """per_class: labelled documents of each class (the sample's bound). terms: most terms kept. discoveries: the share of the kept terms
+    that may be there by chance. paired: the most frequent terms, whose pairs are judged too; pair_evidence: the chi-square by which a pair must
+    tell more than either term. beginning: letters of a word beginning. rank, epochs, rate, decay: of the fit.
+    hidden: share of a document's terms hidden at random in the first step, so that few signs suffice; it falls to none by half of the
+    steps, so that the last ones see pairs whole."""
 
     per_class: int = 4096
     terms: int = 8192
-    evidence: float = 60.0
+    discoveries: float = 0.5
+    paired: int = 1024
+    pair_evidence: float = 40.0
     beginning: int = 4
     rank: int = 6
     epochs: int = 60
@@ -50,17 +54,50 @@ def features(docs: DataFrame, text: Column, fm: Machine, **carry: Column) -> Dat
     return rows.select(*carry, F.concat(F.transform("_w", lambda x: F.xxhash64(x)), begins).alias("ids"))
 
 
+def chances(seen: np.ndarray, ones: np.ndarray, n: int, k: int) -> np.ndarray:
+    """Two-sided hypergeometric p-values: a term seen in ``seen`` of ``n`` documents, ``ones`` of them among the ``k`` of label 1."""
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
+    choose = lambda a, b: logs[a] - logs[b] - logs[a - b]
+    kinds, at = np.unique(np.stack([seen, ones], 1), axis=0, return_inverse=True)
+    out = np.ones(len(kinds))
+    for i, (s, o) in enumerate(kinds):
+        j = np.arange(max(0, s - (n - k)), min(s, k) + 1)
+        p = np.exp(choose(k, j) + choose(n - k, s - j) - choose(n, s))
+        out[i] = min(1.0, 2 * min(p[j >= o].sum(), p[j <= o].sum()))
+    return out[at.ravel()]
+
+
+def paired_terms(at: np.ndarray, row: np.ndarray, y: np.ndarray, seen: np.ndarray, ones: np.ndarray, fm: Machine) -> np.ndarray:
+    """Terms of pairs that tell much more of the label together than either does alone, among the most frequent ones."""
+    n, p = len(y), y.mean()
+    often = np.sort(np.argsort(-np.where(seen <= 0.9 * n, seen, 0), kind="stable")[:fm.paired])
+    place = np.full(len(seen), -1)
+    place[often] = np.arange(len(often))
+    x = np.zeros((n, len(often)), np.float32)
+    near = place[at] >= 0
+    x[row[near], place[at[near]]] = 1
+    both, toxic = x.T @ x, x[y == 1].T @ x[y == 1]
+
+    def chi(ones: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        return (ones - seen * p) ** 2 / np.maximum(seen * p * (1 - p) * (1 - seen / n), 1e-9) * (seen >= 5)
+
+    alone = chi(ones[often], seen[often])
+    more = chi(toxic, both) - np.maximum(alone[:, None], alone[None, :])
+    np.fill_diagonal(more, 0)
+    return often[(more >= fm.pair_evidence).any(1)]
+
+
 def keep_terms(ids: np.ndarray, row: np.ndarray, y: np.ndarray, fm: Machine) -> np.ndarray:
-    """The terms with the largest chi-square against the label, sorted by value."""
+    """The terms worth a weight and a vector, sorted by value: those whose own p-values pass the Benjamini-Hochberg rule at
+    ``discoveries``, whatever the size of the sample, and those of telling pairs."""
     terms, at = np.unique(ids, return_inverse=True)
-    ones = np.bincount(at, weights=y[row], minlength=len(terms))
+    ones = np.bincount(at, weights=y[row], minlength=len(terms)).astype(int)
     seen = np.bincount(at, minlength=len(terms))
-    n, p = len(y), y.mean()
-    expect = seen * p
-    spread = np.maximum(seen * p * (1 - p) * (1 - seen / n), 1e-9)
-    chi = np.where(seen >= 3, (ones - expect) ** 2 / spread, 0)
-    best = np.argsort(-chi, kind="stable")[:fm.terms]
-    return np.sort(terms[best[chi[best] >= fm.evidence]])
+    p = chances(seen, ones, len(y), int(y.sum()))
+    order = np.argsort(p, kind="stable")
+    passed = np.flatnonzero(p[order] <= fm.discoveries * (np.arange(len(order)) + 1) / max(len(order), 1))
+    own = order[:passed[-1] + 1 if len(passed) else 0][:fm.terms]
+    return terms[np.union1d(own, paired_terms(at, row, y, seen, ones, fm)[:fm.terms])] if len(terms) and 0 < y.sum() < len(y) else terms[:0]
 
 
 def raw_scores(ids: np.ndarray, offsets: np.ndarray, model: dict) -> np.ndarray:
@@ -103,15 +140,17 @@ def train(ids: np.ndarray, offsets: np.ndarray, y: np.ndarray, fm: Machine) -> d
     cuts = np.searchsorted(row, np.arange(len(y) + 1))
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     g_w, g_v, g_0 = np.full(len(terms), 1e-6), np.full((len(terms), fm.rank), 1e-6), 1e-6
-    for _ in range(fm.epochs):
+    for epoch in range(fm.epochs):
+        hidden = fm.hidden * max(0.0, 1 - 2 * epoch / fm.epochs)
         order = rng.permutation(len(y))
         for a in range(0, len(y), 256):
             docs = order[a:a + 256]
             sizes = cuts[docs + 1] - cuts[docs]
             own = np.repeat(np.arange(len(docs)), sizes)
             pick = at[np.repeat(cuts[docs] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())]
-            shown = rng.random(len(pick)) >= fm.hidden
-            own, pick = own[shown], pick[shown]
+            if hidden:
+                shown = rng.random(len(pick)) >= hidden
+                own, pick = own[shown], pick[shown]
             x = model["v"][pick]
             total = np.zeros((len(docs), fm.rank))
             np.add.at(total, own, x)
@@ -169,6 +208,8 @@ def score(docs: DataFrame, model: dict | None, fm: Machine = Machine()) -> DataF
     """doc_id, held_out, score, predicted (score >= 0.7) of every row; texts are never shuffled.
 
     A null or empty text has no term and the bias as score; without a model every score is 0.5; repeats and null ids do no harm.
+    Texts are read whole, however long; a term counts once however often it stands there. Scores do not depend on other rows, so there are no
+    ties to break. Columns other than the id and the text are not read. An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = features(docs, docs["text"], fm, doc_id=docs["doc_id"].cast("long"))

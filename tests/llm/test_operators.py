@@ -373,19 +373,60 @@ def test_classifiers_on_held_out_rows(spark, docs, rows, empty):
         assert lib.score(empty, lib.fit(empty, some)).count() == 0
 
 
+def plain_score(model, terms):
+    """w0 + sum of w + the sum over pairs of the products of their vectors."""
+    kept = [i for i, t in enumerate(model["terms"].tolist()) if t in terms]
+    pairs = sum(float(model["v"][a] @ model["v"][b]) for k, a in enumerate(kept) for b in kept[k + 1:])
+    return model["w0"] + sum(model["w"][k] for k in kept) + pairs
+
+
+def packed(data):
+    ids = np.array([x for t, _ in data for x in t], np.int64)
+    return ids, np.concatenate([[0], np.cumsum([len(t) for t, _ in data])]), np.array([v for _, v in data], float)
+
+
 def test_pair_of_terms_outweighs_its_parts():
-    """Interactions: only the two terms together make the label."""
+    """Interactions: only the two terms together make the label, or only one of them without the other."""
     r = random.Random(4)
-    data = []
-    for _ in range(1500):
-        t = [k for k in (1, 2) if r.random() < 0.5] + [r.randint(10, 40) for _ in range(3)]
-        data.append((sorted(set(t)), float(1 in t and 2 in t)))
-    ids = np.array([x for t, _ in data for x in t], np.int64)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t, _ in data])])
-    y = np.array([v for _, v in data])
-    model = fm_toxicity.train(ids, offsets, y, fm_toxicity.Machine(evidence=0.0, hidden=0.0, decay=1e-4))
-    s = fm_toxicity.raw_scores(ids, offsets, model)
-    assert ((s > 0) == (y == 1)).mean() > 0.97
+    for rule in (lambda a, b: a and b, lambda a, b: a != b):
+        data = []
+        for _ in range(1500):
+            t = [k for k in (1, 2) if r.random() < 0.5] + [r.randint(10, 40) for _ in range(3)]
+            data.append((sorted(set(t)), float(rule(1 in t, 2 in t))))
+        ids, offsets, y = packed(data)
+        model = fm_toxicity.train(ids, offsets, y, fm_toxicity.Machine())
+        s = fm_toxicity.raw_scores(ids, offsets, model)
+        assert ((s > 0) == (y == 1)).mean() > 0.97
+        assert s[:200] == pytest.approx([plain_score(model, set(t)) for t, _ in data[:200]])
+
+
+def test_many_insults_with_many_groups(spark):
+    """Neither an insult nor a group's name is toxic alone, and each word is rare: through the whole operator with production parameters."""
+    r = random.Random(11)
+    made = lambda letters, n: ["".join(r.choice(letters) for _ in range(7)) for _ in range(n)]
+    vocabulary, insults, groups = made("abcdefghijklmnopqrst", 800), made("abcdefghij", 50), made("klmnopqrst", 50)
+    rows = []
+    for k in range(8192):
+        w = [r.choice(vocabulary) for _ in range(r.randint(15, 60))]
+        kind = r.randrange(4)
+        for words, there in ((insults, kind in (0, 1)), (groups, kind in (0, 2))):
+            if there:
+                w.insert(r.randrange(len(w)), r.choice(words))
+        rows.append((k, " ".join(w), int(kind == 0)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in fm_toxicity.score(docs, fm_toxicity.fit(docs, labels)).collect()}
+    held = [(got[k].predicted, y) for k, _, y in rows if got[k].held_out]
+    assert sum(p for p, y in held if y) >= 0.9 * sum(y for _, y in held)
+    assert sum(p for p, y in held if not y) <= 0.05 * sum(1 - y for _, y in held)
+
+
+def test_chances_are_those_of_drawing_without_replacement():
+    from math import comb
+    for seen, ones, n, k in ((3, 3, 286, 33), (40, 2, 200, 100), (10, 5, 20, 10), (0, 0, 9, 4)):
+        p = [comb(k, j) * comb(n - k, seen - j) / comb(n, seen) if 0 <= seen - j <= n - k else 0 for j in range(min(seen, k) + 1)]
+        want = min(1, 2 * min(sum(p[ones:]), sum(p[:ones + 1])))
+        assert fm_toxicity.chances(np.array([seen]), np.array([ones]), n, k)[0] == pytest.approx(want)
 
 
 def test_chat_layouts_and_round_trip(spark):
