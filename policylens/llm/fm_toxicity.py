@@ -30,8 +30,8 @@ class Machine:
     """per_class: labelled documents of each class (the sample's bound). terms: most terms kept. discoveries: the share of the kept terms
     that may be there by chance. paired: the most frequent terms, whose pairs are judged too; pair_evidence: the chi-square by which a pair must
     tell more than either term. beginning: letters of a word beginning. rank, epochs, rate, decay: of the fit.
-    hidden: share of a document's terms hidden at random in the first step, so that few signs suffice; it falls to none by half of the
-    steps, so that the last ones see pairs whole."""
+    hidden: share of a document's terms hidden at random in the first step, so that few signs suffice; it falls to a quarter of that by a
+    third of the steps, so that the later ones see most pairs whole."""
 
     per_class: int = 4096
     terms: int = 8192
@@ -141,7 +141,7 @@ def train(ids: np.ndarray, offsets: np.ndarray, y: np.ndarray, fm: Machine) -> d
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     g_w, g_v, g_0 = np.full(len(terms), 1e-6), np.full((len(terms), fm.rank), 1e-6), 1e-6
     for epoch in range(fm.epochs):
-        hidden = fm.hidden * max(0.0, 1 - 2 * epoch / fm.epochs)
+        hidden = fm.hidden * max(0.25, 1 - 2 * epoch / fm.epochs)
         order = rng.permutation(len(y))
         for a in range(0, len(y), 256):
             docs = order[a:a + 256]

@@ -373,6 +373,37 @@ def test_classifiers_on_held_out_rows(spark, docs, rows, empty):
         assert lib.score(empty, lib.fit(empty, some)).count() == 0
 
 
+def test_quality_by_vocabulary_alone(spark):
+    """Good and bad documents differ in nothing but which words they hold."""
+    r = random.Random(3)
+    made = ["".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(900)]
+    both, good, bad = made[:300], made[300:600], made[600:]
+    rows = []
+    for k in range(1200):
+        y = k % 2
+        rows.append((k, " ".join(r.choice(both if r.random() < 0.5 else (good if y else bad)) for _ in range(r.randint(30, 80))), y))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, quality int")
+    got = {x.doc_id: x for x in knn_quality.score(docs, knn_quality.fit(docs, labels)).collect()}
+    held = [got[k].predicted == y for k, _, y in rows if got[k].held_out]
+    assert sum(held) >= 0.95 * len(held)
+
+
+def test_vote_equals_plain_neighbours():
+    r = np.random.default_rng(8)
+    v = knn_quality.Voting(k=5)
+    vectors = knn_quality.unit(np.round(r.normal(size=(60, 6)), 1))
+    vectors[30:40] = vectors[0]  # ties at the last place, of both labels
+    model = {"axes": np.eye(6, dtype=np.float32), "vectors": vectors, "labels": (r.random(60) < 0.3).astype(np.float32)}
+    x = np.concatenate([r.normal(size=(40, 6)), vectors[:3], np.zeros((1, 6))]).astype(np.float32)
+    share = float(model["labels"].mean())
+    for q, got in zip(x, knn_quality.vote(x, model, v), strict=True):
+        cos = [round(float(np.dot(knn_quality.unit(q[None])[0], u)), 6) for u in vectors]
+        least = sorted(cos)[-5]
+        votes = [(max(c, 1e-6) ** v.sharpness / (share if y else 1 - share), y) for c, y in zip(cos, model["labels"], strict=True) if c >= least - 1e-9]
+        assert got == pytest.approx(sum(w for w, y in votes if y) / sum(w for w, _ in votes), abs=1e-4)
+
+
 def plain_score(model, terms):
     """w0 + sum of w + the sum over pairs of the products of their vectors."""
     kept = [i for i, t in enumerate(model["terms"].tolist()) if t in terms]
