@@ -89,6 +89,14 @@ def recent_versions(versions: DataFrame, limit: int = 10) -> DataFrame:
     return versions.orderBy(*[F.col(c).desc() for c in by]).limit(limit)
 
 
+def version_listing(events: DataFrame, metrics: DataFrame, limit: int = 10, root: str = "models") -> DataFrame:
+    """W3 as the service lists it: the newest versions with path, flag, metrics and time, newest first (a top-k report)."""
+    top = recent_versions(events.drop("activate"), limit)
+    rows = top.join(register_state(events).select("model_id", "is_active"), "model_id").join(model_paths(top, root), "model_id")
+    rows = rows.join(metrics_pivot(metrics), "model_id", "left")
+    return rows.orderBy(F.desc("created_at"), F.desc("model_version"), F.desc("model_id"))
+
+
 def model_paths(versions: DataFrame, root: str = "models") -> DataFrame:
     return versions.select("model_id", F.concat(F.lit(root + "/"), F.col("model_name"), F.lit("_"),
                                                 F.col("model_version"), F.lit("/model")).alias("model_path"))

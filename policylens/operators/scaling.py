@@ -205,16 +205,3 @@ def assemble(df: DataFrame, names: list[str], out: str = "features") -> DataFram
     """Feature vector in spec order for ``pyspark.ml``."""
     from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=list(names), outputCol=out, handleInvalid="keep").transform(df)
-
-
-def pca(df: DataFrame, names: list[str], k: int = 20, center: bool = True):
-    """PCA to k components on (optionally centred) features."""
-    from pyspark.ml.feature import PCA
-    spec = fit_standard(df, names) if center else None
-    src = df
-    if center:
-        src = df.select(*[c for c in df.columns if c not in names],
-                        *[(_q(c) - F.lit(spec.center[c])).alias(c) for c in names])
-    vec = assemble(src, names, "_x")
-    model = PCA(k=min(k, len(names)), inputCol="_x", outputCol="pca").fit(vec)
-    return model, model.transform(vec).drop("_x")

@@ -9,7 +9,7 @@ from policylens.plans.catalog import fixtures, query, rnd, rounded
 from policylens.sources.tables import with_clause
 
 _STATE_SQL = """SELECT model_id, model_name, model_version,
-  COALESCE(activate AND model_id = (SELECT max(model_id) FROM fx_model_version WHERE activate), false) AS is_active
+  COALESCE(activate AND model_id = (SELECT arg_max(model_id, created_at) FROM fx_model_version WHERE activate), false) AS is_active
 FROM fx_model_version"""
 
 
@@ -85,11 +85,21 @@ def q_model_id_by_version(spark, sf_dir):
     return R.model_id_by_version(fx.model_versions, lookups).select("metric_id", "model_version", "resolved_model_id")
 
 
-@query("recent_versions", oracle=with_clause("fx_model_version") + """
-SELECT model_id, model_name, model_version FROM fx_model_version ORDER BY model_version DESC LIMIT 10""")
+_PIVOT_SQL = """SELECT model_id,
+  max(CASE WHEN metric_name = 'mae' THEN v END) AS mae, max(CASE WHEN metric_name = 'mse' THEN v END) AS mse,
+  max(CASE WHEN metric_name = 'r2' THEN v END) AS r2, max(CASE WHEN metric_name = 'rmse' THEN v END) AS rmse
+FROM (SELECT model_id, metric_name, arg_max(metric_value, metric_id) AS v FROM fx_metric GROUP BY 1, 2) GROUP BY model_id"""
+
+
+@query("recent_versions", oracle=rnd(with_clause("fx_model_version", "fx_metric") + f"""
+SELECT v.model_id, v.model_name, v.model_version, 'models/' || v.model_name || '_' || v.model_version || '/model' AS model_path, s.is_active,
+  v.created_at, m.mae, m.mse, m.r2, m.rmse
+FROM (SELECT * FROM fx_model_version ORDER BY created_at DESC LIMIT 10) v JOIN ({_STATE_SQL}) s USING (model_id)
+LEFT JOIN ({_PIVOT_SQL}) m USING (model_id)""", ["mae", "mse", "r2", "rmse"]))
 def q_recent_versions(spark, sf_dir):
-    return R.recent_versions(fixtures(spark, sf_dir).model_versions.select("model_id", "model_name",
-                                                                            "model_version"), 10)
+    """The ten newest registrations (by time, which is not the order of ids) with path, flag and metrics."""
+    fx = fixtures(spark, sf_dir)
+    return rounded(R.version_listing(fx.model_versions, fx.metrics, 10))
 
 
 _PATHS = "SELECT model_id, 'models/' || model_name || '_' || model_version || '/model' AS model_path FROM fx_model_version"

@@ -87,7 +87,8 @@ SELECT l_orderkey * 10 + l_linenumber, 'm2', l_extendedprice, l_extendedprice *
 
 FX_MODEL_VERSION = """
 SELECT n_nationkey AS model_id, CASE n_regionkey % 3 WHEN 0 THEN 'decision_tree' WHEN 1 THEN 'random_forest' ELSE 'gradient_boosting' END AS model_name,
-       CAST(20250413000000 + CAST(n_nationkey AS BIGINT) AS STRING) AS model_version, n_nationkey % 6 = 0 AS activate
+       CAST(20250413000000 + CAST(n_nationkey AS BIGINT) AS STRING) AS model_version, n_nationkey % 6 = 0 AS activate,
+       DATE '2025-04-13' + CAST(n_nationkey * 7 % 25 AS INT) AS created_at
 FROM nation
 """
 

@@ -17,6 +17,11 @@ def test_sql_functions_match_column_functions(spark):
 def test_pca_invariants(spark):
     import __spark_entry__ as E
     from tests.conftest import SMOKE
-    rows = E.queries()["pca_features"](spark, SMOKE).collect()
-    ev = [r["explained_variance"] for r in rows]
-    assert 0 < sum(ev) <= 1 + 1e-9 and ev == sorted(ev, reverse=True)
+    from policylens.operators import pca
+    rows = E.queries()["policy_features"](spark, SMOKE)
+    c = pca.fit(rows, [x for x in rows.columns if x != "policy_id"], 20)
+    ev = c.explained.tolist()
+    assert len(ev) == 20 and 0 < sum(ev) <= 1 + 1e-9 and ev == sorted(ev, reverse=True)
+    assert all(c.axes[abs(c.axes[:, i]).argmax(), i] > 0 for i in range(20))
+    one = pca.transform(rows, c)
+    assert one.columns == [*rows.columns, "pca"] and len(one.first()["pca"]) == 20
