@@ -32,6 +32,11 @@ def as_date(value) -> Column:
     return F.lit(value)
 
 
+def ident(name: str) -> str:
+    """A column name in SQL text; a backtick in it is doubled."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def sql_literal(v) -> str:
     """A Python constant as Spark SQL literal text (floats as DOUBLE)."""
     if v is None:

@@ -82,44 +82,52 @@ def driver_age_cols(as_of) -> dict[str, Column]:
             "driver_experience": X.whole_years(a, "license_issue_date")}
 
 
+# The columns of one child, from ``get``, which gives its fields by name: columns of a flat table, or fields of a struct.
+
+def driver_columns(get, vocab: Vocabulary) -> dict[str, Column]:
+    """X1; ``get`` also gives driver_age and driver_experience."""
+    band = X.age_band(get("driver_age"))
+    return ({c: get(c) for c in ("driver_age", "driver_experience")} | {f"age_band_{lbl}": X.one_hot(band, lbl) for lbl in dims.AGE_BAND_LABELS}
+            | {f"gender_{g}": X.one_hot_nullable(get("gender"), g) for g in vocab.genders}
+            | {f"marital_status_{m}": X.one_hot_nullable(get("marital_status"), m) for m in vocab.marital_statuses}
+            | {"occupation_risk": X.occupation_risk(get("occupation"))})
+
+
+def vehicle_columns(get, vocab: Vocabulary, as_of) -> dict[str, Column]:
+    """X2."""
+    key = X.make_model_key(get("make"), get("model"))
+    cls = X.vehicle_class(key)
+    return ({"vehicle_age": X.vehicle_age(X.as_date(as_of), get("year")), "vehicle_value": get("value").cast("double"), "annual_mileage": get("annual_mileage"),
+             "anti_theft_device": get("anti_theft_device").cast("int"), "make_model_risk": X.make_model_risk(key)}
+            | {f"vehicle_class_{c}": X.one_hot(cls, c) for c in dims.VEHICLE_CLASSES} | {f"use_{u}": X.one_hot_nullable(get("primary_use"), u) for u in vocab.uses})
+
+
+def location_columns(get, vocab: Vocabulary) -> dict[str, Column]:
+    """X4."""
+    terr = X.territory(get("zip_code"))
+    return ({w: X.territory_risk(terr, w) for w in ("crime_rate", "weather_risk", "traffic_density")} | {f"territory_{t}": X.one_hot(terr, t) for t in dims.TERRITORIES}
+            | {f"state_{s}": X.one_hot(get("state"), s).cast("double") for s in vocab.states})
+
+
+def _with_key(rows: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    return rows.select("policy_id", *[c.alias(n) for n, c in cols.items()])
+
+
 def driver_features(drivers: DataFrame, vocab: Vocabulary, as_of) -> DataFrame:
     """One row per driver with numeric features."""
     d = drivers.select("policy_id", "gender", "marital_status", "occupation",
                        *[c.alias(n) for n, c in driver_age_cols(as_of).items()])
-    cols = [F.col("policy_id"), F.col("driver_age"), F.col("driver_experience")]
-    band = X.age_band(F.col("driver_age"))
-    cols += [X.one_hot(band, lbl).alias(f"age_band_{lbl}") for lbl in dims.AGE_BAND_LABELS]
-    cols += [X.one_hot_nullable("gender", g).alias(f"gender_{g}") for g in vocab.genders]
-    cols += [X.one_hot_nullable("marital_status", m).alias(f"marital_status_{m}")
-             for m in vocab.marital_statuses]
-    cols.append(X.occupation_risk("occupation").alias("occupation_risk"))
-    return d.select(*cols)
+    return _with_key(d, driver_columns(F.col, vocab))
 
 
 def vehicle_features(vehicles: DataFrame, vocab: Vocabulary, as_of) -> DataFrame:
     """One row per vehicle."""
-    a = X.as_date(as_of)
-    key = X.make_model_key("make", "model")
-    cls = X.vehicle_class(key)
-    cols = [F.col("policy_id"),
-            X.vehicle_age(a, "year").alias("vehicle_age"),
-            F.col("value").cast("double").alias("vehicle_value"),
-            F.col("annual_mileage"),
-            F.col("anti_theft_device").cast("int").alias("anti_theft_device"),
-            X.make_model_risk(key).alias("make_model_risk")]
-    cols += [X.one_hot(cls, c).alias(f"vehicle_class_{c}") for c in dims.VEHICLE_CLASSES]
-    cols += [X.one_hot_nullable("primary_use", u).alias(f"use_{u}") for u in vocab.uses]
-    return vehicles.select(*cols)
+    return _with_key(vehicles, vehicle_columns(F.col, vocab, as_of))
 
 
 def location_features(locations: DataFrame, vocab: Vocabulary) -> DataFrame:
     """One row per location."""
-    terr = X.territory("zip_code")
-    cols = [F.col("policy_id")]
-    cols += [X.territory_risk(terr, w).alias(w) for w in ("crime_rate", "weather_risk", "traffic_density")]
-    cols += [X.one_hot(terr, t).alias(f"territory_{t}") for t in dims.TERRITORIES]
-    cols += [X.one_hot("state", s).cast("double").alias(f"state_{s}") for s in vocab.states]
-    return locations.select(*cols)
+    return _with_key(locations, location_columns(F.col, vocab))
 
 
 # ---- per-policy aggregation --------------------------------------------------------
@@ -143,27 +151,23 @@ def stat_aggs(value_cols, binary=is_binary):
     aggregate small. A statistic over no value is 0. Both lists are SQL text
     so that a wide aggregate costs one call per column to build.
     """
-    aggs, finals = [], []
+    aggs, finals, q = [], [], X.ident
     for c in value_cols:
         if binary(c):
-            aggs += [F.expr(f"sum(CAST(`{c}` AS BIGINT)) AS `_s|{c}`"), F.expr(f"count(`{c}`) AS `_n|{c}`")]
-            s, n = f"`_s|{c}`", f"`_n|{c}`"
+            s, n = q(f"_s|{c}"), q(f"_n|{c}")
+            aggs += [F.expr(f"sum(CAST({q(c)} AS BIGINT)) AS {s}"), F.expr(f"count({q(c)}) AS {n}")]
             finals.append((c, f"CASE WHEN {n} > 0 THEN CAST({s} AS DOUBLE) / {n} ELSE 0.0D END",
                            f"CASE WHEN {s} > 0 THEN 1.0D ELSE 0.0D END",
                            f"CASE WHEN {n} > 0 AND {s} = {n} THEN 1.0D ELSE 0.0D END"))
         else:
-            v = f"CAST(`{c}` AS DOUBLE)"
-            aggs += [F.expr(f"avg({v}) AS `_a|{c}`"), F.expr(f"max({v}) AS `_x|{c}`"),
-                     F.expr(f"min({v}) AS `_m|{c}`")]
-            finals.append((c, f"coalesce(`_a|{c}`, 0.0D)", f"coalesce(`_x|{c}`, 0.0D)", f"coalesce(`_m|{c}`, 0.0D)"))
+            v, parts = f"CAST({q(c)} AS DOUBLE)", [q(f"_{k}|{c}") for k in "axm"]
+            aggs += [F.expr(f"{f}({v}) AS {part}") for f, part in zip(("avg", "max", "min"), parts)]
+            finals.append((c, *[f"coalesce({part}, 0.0D)" for part in parts]))
     return aggs, finals
 
 
 def stat_selects(finals, prefix: str) -> list[str]:
-    out = []
-    for c, mean, mx, mn in finals:
-        out += [f"{mean} AS `{prefix}_{c}_mean`", f"{mx} AS `{prefix}_{c}_max`", f"{mn} AS `{prefix}_{c}_min`"]
-    return out
+    return [f"{sql} AS {X.ident(f'{prefix}_{c}_{stat}')}" for c, *sqls in finals for stat, sql in zip(STATS, sqls)]
 
 
 def numeric_stats(child: DataFrame, prefix: str, count_name: str | None = None) -> DataFrame:
@@ -255,11 +259,11 @@ def policy_row_sql(dagg, vagg, lagg, nd="num_drivers", nv="num_vehicles", nl="nu
     for agg, cnt in ((dagg, nd), (vagg, nv)):
         for c in agg.columns:
             if c not in ("policy_id", cnt):
-                out.append(f"`{c}`" if c.endswith("_mode") else f"coalesce(`{c}`, 0.0D) AS `{c}`")
+                out.append(X.ident(c) if c.endswith("_mode") else f"coalesce({X.ident(c)}, 0.0D) AS {X.ident(c)}")
     out += [f"coalesce({c}, {float(v)!r}D) AS {c}" for c, v in HISTORY_DEFAULTS.items()]
     for c in lagg.columns:
         if c not in ("policy_id", nl):
-            out.append(f"`{c}`" if c.endswith("_mode") else f"coalesce(`{c}`, 0.0D) AS `{c}`")
+            out.append(X.ident(c) if c.endswith("_mode") else f"coalesce({X.ident(c)}, 0.0D) AS {X.ident(c)}")
     out += ["coalesce(nullif(credit_score, 0.0D), 0.0D) AS credit_score",
             "coalesce(nullif(insurance_score, 0.0D), 0.0D) AS insurance_score"]
     return out

@@ -22,6 +22,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from policylens.functions.exprs import ident
 from policylens.operators.quantiles import BUCKETS, bucket_of
 from policylens.session import settle
 
@@ -45,7 +46,7 @@ class FeatureSpec:
 
 
 def _q(c: str):
-    return F.col(f"`{c}`")
+    return F.col(ident(c))
 
 
 def fit_standard(df: DataFrame, cols: list[str]) -> FeatureSpec:
@@ -73,7 +74,7 @@ def wide_percentiles(df: DataFrame, cols: list[str], probs: list[float], buckets
     (at most two for a column and percentile) are held by the driver.
     """
     row = df.selectExpr(*[x for i, c in enumerate(cols) for x in (
-        f"count(`{c}`) n{i}", f"min(CAST(`{c}` AS DOUBLE)) a{i}", f"max(CAST(`{c}` AS DOUBLE)) b{i}")]).first()
+        f"count({ident(c)}) n{i}", f"min(CAST({ident(c)} AS DOUBLE)) a{i}", f"max(CAST({ident(c)} AS DOUBLE)) b{i}")]).first()
     n = {i: row[f"n{i}"] for i in range(len(cols)) if row[f"n{i}"]}
     places = {(i, k) for i in n for p in probs for k in (math.floor(p * (n[i] - 1)), math.ceil(p * (n[i] - 1)))}
     # interval (column, low, high) -> [(rank in the column, rank in the interval)]
@@ -87,7 +88,7 @@ def wide_percentiles(df: DataFrame, cols: list[str], probs: list[float], buckets
         open_ = [(at, ranks) for at, ranks in intervals.items() if not (at[1] == at[2] or at[1] != at[1])]
         if not open_:
             break
-        cells = ", ".join(f"named_struct('s', {s}, 'v', CAST(`{cols[i]}` AS DOUBLE), 'lo', {_sql_double(low)}, 'hi', {_sql_double(high)})"
+        cells = ", ".join(f"named_struct('s', {s}, 'v', CAST({ident(cols[i])} AS DOUBLE), 'lo', {_sql_double(low)}, 'hi', {_sql_double(high)})"
                           for s, ((i, low, high), _) in enumerate(open_))
         inside = df.selectExpr(f"inline(array({cells}))").where("v >= lo AND v <= hi")
         counts = inside.groupBy("s", bucket_of(F.col("v"), F.col("lo"), F.col("hi"), turn % 2 == 1, buckets).alias("b")).agg(
@@ -197,7 +198,7 @@ class FeatureScalerModel(Model, _Scaled):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         spec, have = self.feature_spec, set(dataset.columns)
         cells = ", ".join("coalesce(({} - {}) / {}, double('NaN'))".format(
-            f"CAST(`{c}` AS DOUBLE)" if c in have else "0.0D", _sql_double(spec.center[c]), _sql_double(spec.scale[c])) for c in spec.names)
+            f"CAST({ident(c)} AS DOUBLE)" if c in have else "0.0D", _sql_double(spec.center[c]), _sql_double(spec.scale[c])) for c in spec.names)
         return dataset.withColumn(self.getOutputCol(), array_to_vector(F.expr(f"array({cells})")))
 
 

@@ -351,10 +351,27 @@ SELECT policy_id, kind, count(*) AS n FROM (
 GROUP BY 1, 2""")
 def q_explode_children(spark, sf_dir):
     """Children of all nested policies flattened, counted per (policy, kind)."""
+    pn = nested_files(spark, sf_dir)
+    return features.explode_children(pn).groupBy(F.col("policy_id").cast("long").alias("policy_id"), "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def nested_files(spark, sf_dir):
+    """The policies as files of nested records, read back by S1."""
     from policylens.sources import nested
+    from policylens.sources.sinks import new_path
     fx = fixtures(spark, sf_dir)
+    path = new_path(spark, "nested-policies")
     pn = nested.nest_policies(fx.policies, fx.drivers, fx.vehicles, fx.history, fx.locations)
-    return features.explode_children(pn).groupBy("policy_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+    pn.withColumn("policy_id", F.col("policy_id").cast("string")).write.parquet(path)
+    return nested.read_policies(spark, path)
+
+
+@query("policy_features_nested", oracle=rnd(_PF_SQL, _PF_DOUBLES))
+def q_policy_features_nested(spark, sf_dir):
+    """X5 of nested records read from files: folds over each record's arrays, no shuffle after the scan."""
+    from policylens.operators import nested_features
+    out = nested_features.policy_features(nested_files(spark, sf_dir), vocab_for(fixtures(spark, sf_dir)), AS_OF)
+    return rounded(out.withColumn("policy_id", F.col("policy_id").cast("long")))
 
 
 @query("policies_nested", oracle=with_clause("fx_policy", "fx_driver", "fx_vehicle", "fx_history",
@@ -367,8 +384,6 @@ LEFT JOIN (SELECT policy_id, count(*) n FROM fx_vehicle GROUP BY 1) v USING (pol
 LEFT JOIN (SELECT policy_id, count(*) n FROM fx_history GROUP BY 1) h USING (policy_id)
 LEFT JOIN (SELECT policy_id, count(*) n FROM fx_location GROUP BY 1) l USING (policy_id)""")
 def q_policies_nested(spark, sf_dir):
-    """Nested policy records (arrays of child structs), counted after nesting."""
+    """Nested policy records (arrays of child structs), written, read back by the scan and counted."""
     from policylens.sources import nested
-    fx = fixtures(spark, sf_dir)
-    pn = nested.nest_policies(fx.policies, fx.drivers, fx.vehicles, fx.history, fx.locations)
-    return nested.nested_counts(pn)
+    return nested.nested_counts(nested_files(spark, sf_dir).withColumn("policy_id", F.col("policy_id").cast("long")))
