@@ -337,6 +337,15 @@ _EPF_DIGITS = {f"{c}_{s}": 8 for c in ("vehicle_depreciated_value", "location_lo
                for s in ("mean", "max", "min")}
 
 
+@query("policy_features_stored", oracle=rnd(_PF_SQL, _PF_DOUBLES))
+def q_policy_features_stored(spark, sf_dir):
+    """J7 over stored tables, bucketed by policy: no exchange between scan and feature row."""
+    from policylens.sources import stored
+    fx = fixtures(spark, sf_dir)
+    kept = stored.store({"policies": fx.policies, "drivers": fx.drivers, "vehicles": fx.vehicles, "history": fx.history, "locations": fx.locations})
+    return rounded(features.policy_features(**kept.read(spark), vocab=vocab_for(fx), as_of=AS_OF))
+
+
 @query("policy_features_enhanced", oracle=rnd(_EPF_SQL, _EPF_DOUBLES, per_col=_EPF_DIGITS))
 def q_policy_features_enhanced(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
