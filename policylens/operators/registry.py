@@ -1,7 +1,7 @@
 """Model registry, audits and log statistics.
 
 Plain Parquet has no UPDATE, so the registry is an append-only event table
-(one row per registration, ``seq`` = registration order). Current state is
+(one row per registration, ``seq`` = registration order, claimed by ``next_sequence``). Current state is
 derived: a model is active iff it was registered with ``activate`` and no
 later registration activated another model (activation deactivates every
 other model, across names).
@@ -9,15 +9,41 @@ other model, across names).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from policylens.functions import exprs as X
 
 
+def next_sequence(spark: SparkSession, folder: str) -> int:
+    """A number that no other caller gets, above all that were there: an empty file of that name is created if absent.
+
+    Whoever creates it first has the number, the others try the next one, so registrations at one time are
+    ordered without clocks. The file system must create files exclusively, as HDFS does; local files are created by ``java.nio``, which does too.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    n = max((int(f.getPath().getName()) for f in fs.listStatus(path(folder)) if f.getPath().getName().isdigit()), default=0)
+    while True:
+        n += 1
+        at = path(folder, f"{n:012d}")
+        try:
+            if fs.getScheme() == "file":
+                jvm.java.nio.file.Files.createFile(jvm.java.io.File(at.toUri().getPath()).toPath(), spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+            else:
+                fs.create(at, False).close()
+            return n
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+
+
 def _order(events: DataFrame, seq: str | None = None):
-    """What orders events: their time, then their sequence number, where present, then the id."""
-    return F.struct(*([seq] if seq else [c for c in ("created_at", "seq") if c in events.columns]), "model_id")
+    """What orders events: their sequence number, then their time, where present, then the id."""
+    return F.struct(*([seq] if seq else [c for c in ("seq", "created_at") if c in events.columns]), "model_id")
 
 
 def register_state(events: DataFrame, seq: str | None = None) -> DataFrame:

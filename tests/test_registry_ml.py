@@ -60,3 +60,24 @@ def test_state_follows_time_not_id(spark):
     state = {r.model_id: (r.model_version, r.is_active) for r in R.register_state(events).collect()}
     assert state == {"random_forest_1": ("1b", False), "decision_tree_2": ("2", True)}
     assert R.recent_versions(events, 1).first().model_version == "1b"
+
+
+def test_concurrent_registrations_are_ordered(spark, tmp_path):
+    """Writers at one time get different numbers, and the last number decides which model is active."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: R.next_sequence(spark, str(tmp_path / "numbers")), range(40)))
+    assert sorted(numbers) == list(range(1, 41))
+    feats, prem = _toy(spark)
+    tm, _ = MD.train(feats, prem, "decision_tree", max_depth=2)
+    paths = []
+    for k in range(4):
+        tm.version = f"2025010100000{k}"
+        paths.append(MD.save(tm, str(tmp_path / "models")))
+    reg = str(tmp_path / "registry")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda p: MD.register_existing(spark, p, reg), paths))
+    events = {r.model_id: r.seq for r in spark.read.parquet(reg).collect()}
+    assert sorted(events.values()) == [1, 2, 3, 4]
+    active = R.active_model(R.register_state(spark.read.parquet(reg))).collect()
+    assert [r.model_id for r in active] == [max(events, key=events.get)]
