@@ -197,6 +197,18 @@ def q_policy_features(spark, sf_dir):
                                             vocab_for(fx), AS_OF))
 
 
+@query("policy_features_sparse", oracle=f"""
+SELECT policy_id, name, ROUND(value, 6) + CAST(0 AS DOUBLE) AS value
+FROM (UNPIVOT ({_PF_SQL}) ON COLUMNS(* EXCLUDE (policy_id)) INTO NAME name VALUE value) WHERE ROUND(value, 6) <> 0""")
+def q_policy_features_sparse(spark, sf_dir):
+    """X5 with open vocabularies: every value other than 0 of the sparse rows, by the name of its slot."""
+    from policylens.operators import sparse_features
+    fx = fixtures(spark, sf_dir)
+    rows = sparse_features.policy_vectors(fx.policies, fx.drivers, fx.vehicles, fx.history, fx.locations, AS_OF,
+                                          categories=sparse_features.fit_categories(fx.drivers, fx.vehicles, fx.locations))
+    return rounded(rows.named_cells()).where("value <> 0")
+
+
 # ---- A18 --------------------------------------------------------------------------------
 
 @query("category_vocab", oracle=with_clause("fx_driver", "fx_vehicle", "fx_history", "fx_location") + """
