@@ -19,11 +19,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from policylens.functions.exprs import ident
-from policylens.operators.quantiles import BUCKETS, bucket_of
+from policylens.operators.quantiles import BUCKETS, GRID, MARGIN, SKETCH, counted, grid_of, rank_state, select_rank
 from policylens.session import settle
 
 
@@ -64,52 +64,58 @@ def _sql_double(x: float) -> str:
     return f"double('{x}')" if x != x or x in (float("inf"), float("-inf")) else f"{x!r}D"
 
 
+def _bracket(n: int, grid, low: float, high: float, first: int, last: int) -> tuple[float, float]:
+    """Values around the ranks first to last, from the sketch's grid (``quantiles.bracket`` on the driver's few numbers)."""
+    if not n:
+        return low, high
+    below, above = (first - 2) / n - MARGIN, (last + 3) / n + MARGIN
+    return (low if below <= 0 else grid[min(math.floor(below * GRID), GRID)]), (high if above >= 1 else grid[math.ceil(above * GRID)])
+
+
 def wide_percentiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = BUCKETS) -> dict[str, list[float]]:
     """Exact percentiles (linear interpolation) of many columns of a wide table; a column without values has none.
 
-    Each pass reads the rows once, counts every column's values in the
-    buckets of its open intervals by one hash aggregate, combined before the
-    shuffle, and keeps the buckets that hold a rank. The ends of a bucket are values, so
-    an interval shrinks until it is one value. Only intervals
-    (at most two for a column and percentile) are held by the driver.
+    The rows are read twice, as ``quantiles`` explains: once for every column's count, ends and sketch, and
+    once for the counts in and below the brackets around the ranks; values above its bracket are
+    dropped before a row is taken apart, those below are one count. Should a bracket miss its rank, a third read takes that
+    column's whole range. The driver holds a grid for each column, and no more than two ranks for each column and percentile.
     """
-    row = df.selectExpr(*[x for i, c in enumerate(cols) for x in (
-        f"count({ident(c)}) n{i}", f"min(CAST({ident(c)} AS DOUBLE)) a{i}", f"max(CAST({ident(c)} AS DOUBLE)) b{i}")]).first()
-    n = {i: row[f"n{i}"] for i in range(len(cols)) if row[f"n{i}"]}
-    places = {(i, k) for i in n for p in probs for k in (math.floor(p * (n[i] - 1)), math.ceil(p * (n[i] - 1)))}
-    # interval (column, low, high) -> [(rank in the column, rank in the interval)]
-    intervals = {(i, row[f"a{i}"], row[f"b{i}"]): [(k, k) for j, k in sorted(places) if j == i] for i in n}
+    spark = df.sparkSession
+    stats = df.selectExpr(*[x for i, c in enumerate(cols) for x in (
+        f"count({ident(c)}) n{i}", f"min(CAST({ident(c)} AS DOUBLE)) a{i}", f"max(CAST({ident(c)} AS DOUBLE)) b{i}", f"kll_sketch_agg_double(CAST({ident(c)} AS DOUBLE), {SKETCH}) s{i}")])
+    long = stats.selectExpr("inline(array(" + ", ".join(f"named_struct('i', {i}, 'n', n{i}, 'a', a{i}, 'b', b{i}, 's', s{i})" for i in range(len(cols))) + "))").where("n > 0")
+    inside = F.kll_sketch_get_n_double("s")
+    seen = {r["i"]: r for r in long.select("i", "n", "a", "b", inside.alias("m"), F.when(inside > 0, grid_of(F.col("s"))).alias("grid")).collect()}
+    # bracket (column, low, high) -> ranks; columns of few values share a bracket among their percentiles
+    asked: dict[tuple[int, float, float], set[int]] = {}
+    for i, r in seen.items():
+        for p in probs:
+            first, last = math.floor(p * (r["n"] - 1)), math.ceil(p * (r["n"] - 1))
+            asked.setdefault((i, *_bracket(r["m"], r["grid"], r["a"], r["b"], first, last)), set()).update((first, last))
     value: dict[tuple[int, int], float] = {}
-    turn = 0
-    while True:
-        for (i, low, high), ranks in intervals.items():
-            if low == high or low != low:
-                value.update({(i, k): low for k, _ in ranks})
-        open_ = [(at, ranks) for at, ranks in intervals.items() if not (at[1] == at[2] or at[1] != at[1])]
-        if not open_:
-            break
-        cells = ", ".join(f"named_struct('s', {s}, 'v', CAST({ident(cols[i])} AS DOUBLE), 'lo', {_sql_double(low)}, 'hi', {_sql_double(high)})"
-                          for s, ((i, low, high), _) in enumerate(open_))
-        inside = df.selectExpr(f"inline(array({cells}))").where("v >= lo AND v <= hi")
-        counts = inside.groupBy("s", bucket_of(F.col("v"), F.col("lo"), F.col("hi"), turn % 2 == 1, buckets).alias("b")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
-        upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy("s").orderBy("b")))
-        asked = df.sparkSession.createDataFrame([(s, k, kr) for s, (_, ranks) in enumerate(open_) for k, kr in ranks], "s int, k long, kr long")
-        found = upto.join(F.broadcast(asked), "s").where("kr < upto AND kr >= upto - c").selectExpr("s", "k", "low", "high", "kr - (upto - c) AS kr")
-        intervals = {}
-        for r in found.collect():
-            intervals.setdefault((open_[r["s"]][0][0], r["low"], r["high"]), []).append((r["k"], r["kr"]))
-        turn += 1
+    while asked:
+        at = list(asked)
+        cells = ", ".join(f"named_struct('s', {s}, '_v', CAST({ident(cols[i])} AS DOUBLE), '_lo', {_sql_double(low)}, '_hi', {_sql_double(high)})"
+                          for s, (i, low, high) in enumerate(at))
+        counts = counted(df.selectExpr(f"inline(filter(array({cells}), c -> c._v <= c._hi))"), ["s"])
+        ranks = spark.createDataFrame([(s, k) for s, key in enumerate(at) for k in sorted(asked[key])], "s int, k long")
+        state = settle(rank_state(counts, ranks, ["s"]), "held")
+        found = select_rank(counts, state.where("_held"), ["s", "k"], buckets, on=["s"])
+        value.update({(at[r["s"]][0], r["k"]): r["value"] for r in found.collect()})
+        asked = {}
+        for r in state.where("NOT _held").collect():
+            i = at[r["s"]][0]
+            asked.setdefault((i, seen[i]["a"], seen[i]["b"]), set()).add(r["k"])
     out = {}
-    for i, count in n.items():
-        at = [p * (count - 1) for p in probs]
-        ends = [(value[i, math.floor(x)], value[i, math.ceil(x)], x - math.floor(x)) for x in at]
+    for i, r in seen.items():
+        places = [p * (r["n"] - 1) for p in probs]
+        ends = [(value[i, math.floor(x)], value[i, math.ceil(x)], x - math.floor(x)) for x in places]
         out[cols[i]] = [low if low == high else low + share * (high - low) for low, high, share in ends]
     return out
 
 
 def fit_robust(df: DataFrame, cols: list[str]) -> FeatureSpec:
-    """X11 fit: median and IQR per column (exact, linear interpolation); IQR 0 -> 1. The rows are read once a pass."""
+    """X11 fit: median and IQR per column (exact, linear interpolation); IQR 0 -> 1. The rows are read twice."""
     stats = wide_percentiles(df, cols, [0.25, 0.5, 0.75])
     center, scale = {}, {}
     for c in cols:

@@ -86,3 +86,21 @@ def test_period_split_of_equal_timestamps(spark):
     assert ends["reference"][1] < ends["current"][0]
     text = M.period_split(other.withColumn("pricing_id", F.col("pricing_id").cast("string")))
     assert {r.pricing_id for r in text.where("period = 'reference'").collect()} == {"0", "1"}
+
+
+def test_brackets_hold_little_and_misses_are_redone(spark, monkeypatch):
+    """Two reads: what the second one writes is a small share of the values; a bracket beside the rank changes nothing."""
+    df = spark.range(200_000).select(F.expr("CAST((id * 7919) % 200000 AS DOUBLE) * 3").alias("v"))
+    ranks = spark.createDataFrame([(0,), (99_999,), (150_000,), (199_999,)], "k long")
+    written, plain = [], Q.counted
+
+    def counted(*args):
+        written.append(plain(*args))
+        return written[-1]
+    monkeypatch.setattr(Q, "counted", counted)
+    want = {0: 0.0, 99_999: 299_997.0, 150_000: 450_000.0, 199_999: 599_997.0}
+    assert {r["k"]: r["value"] for r in Q.kth_smallest(df, [], "v", ranks).collect()} == want
+    assert len(written) == 1 and written[0].count() < 4 * 200_000 * 0.03
+    monkeypatch.setattr(Q, "bracket", lambda sketch, k, lo, hi: (hi, hi))
+    assert {r["k"]: r["value"] for r in Q.kth_smallest(df, [], "v", ranks).collect()} == want
+    assert len(written) == 3

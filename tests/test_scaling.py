@@ -36,6 +36,13 @@ def test_wide_percentiles_of_endless_values(spark):
     assert S.wide_percentiles(df.where("x > 1e308 and x < 0"), ["x"], [0.5]) == {}
 
 
+def test_wide_percentiles_without_numbers_and_beside_the_rank(spark, monkeypatch):
+    df = spark.range(1, 4001).selectExpr("double('NaN') AS nan", "CAST(id AS DOUBLE) AS x")
+    assert all(math.isnan(v) for v in S.wide_percentiles(df, ["nan"], [0.0, 0.5])["nan"])
+    monkeypatch.setattr(S, "_bracket", lambda n, grid, low, high, first, last: (high, high))
+    assert S.wide_percentiles(df, ["x"], [0.0, 0.25, 1.0])["x"] == [1.0, 1000.75, 4000.0]
+
+
 def test_estimator_fits_saves_and_loads(wide, tmp_path):
     cols = ["normal", "flag", "same"]
     for method in ("standard", "robust"):
