@@ -1,7 +1,7 @@
 """Exact order statistics without sorting a whole group in one task.
 
 ``kth_smallest`` finds, per group, the value of 0-based rank ``k`` among the
-non-null values of a numeric column, and never ranks a whole group. The values are read twice:
+non-null values of a numeric column, and never ranks a whole group. The values are written once as a narrow column, and that is read twice:
 
 1. One aggregate gives each group's count, ends and a mergeable quantile sketch (KLL). The sketch brackets
    the rank: two values between which about ``2 * (MARGIN + 1 / GRID)`` of the group's values lie, at most.
@@ -142,9 +142,16 @@ def kth_smallest(values: DataFrame, group_cols: list[str], value_col: str, ranks
         out = kth_smallest(values.withColumn("_all", F.lit(0)), ["_all"], value_col,
                            ranks.withColumn("_all", F.lit(0)), buckets, finish_rows)
         return out.drop("_all")
-    g = list(group_cols)
+    return _kth(_narrow(values, group_cols, value_col), list(group_cols), ranks, buckets, finish_rows)
+
+
+def _narrow(values: DataFrame, g: list[str], value_col: str) -> DataFrame:
+    """The values to read twice, written once: group columns + ``_v``. What they are computed from is read once, whatever it costs."""
+    return settle(values.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull()), "values")
+
+
+def _kth(v: DataFrame, g: list[str], ranks: DataFrame, buckets: int = BUCKETS, finish_rows: int = FINISH_ROWS) -> DataFrame:
     key = [*g, "k"]
-    v = values.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     bounds = v.groupBy(*g).agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"), sketch_of(F.col("_v")).alias("_sketch"))
     asked = ranks.select(*g, F.col("k").cast("long").alias("k")).join(bounds, g, "inner")
     low, high = bracket(F.col("_sketch"), F.col("k"), F.col("_min"), F.col("_max"))
@@ -171,7 +178,8 @@ def exact_percentiles(values: DataFrame, group_cols: list[str], value_col: str,
         return out.drop("_all")
     g = list(group_cols)
     names = names or [f"p{int(round(p * 100))}" for p in probs]
-    counts = values.where(F.col(value_col).isNotNull()).groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    v = _narrow(values, g, value_col)
+    counts = v.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
     pos = [(i, p) for i, p in enumerate(probs)]
     ranks = None
     for i, p in pos:
@@ -182,7 +190,7 @@ def exact_percentiles(values: DataFrame, group_cols: list[str], value_col: str,
                          F.ceil("_pos").cast("long").alias("_khi"))
     need = (ranks.select(*g, F.col("_klo").alias("k"))
             .unionByName(ranks.select(*g, F.col("_khi").alias("k"))).distinct())
-    kv = kth_smallest(values, g, value_col, need)
+    kv = _kth(v, g, need)
     lo = kv.select(*g, F.col("k").alias("_klo"), F.col("value").alias("_vlo"))
     hi = kv.select(*g, F.col("k").alias("_khi"), F.col("value").alias("_vhi"))
     r = ranks.join(lo, g + ["_klo"]).join(hi, g + ["_khi"])
