@@ -70,3 +70,25 @@ def test_estimator_in_a_pipeline(wide, tmp_path):
 def test_unknown_method(wide):
     with pytest.raises(ValueError):
         S.FeatureScaler(inputCols=["flag"], method="none").fit(wide)
+
+
+def test_moments_equal_the_aggregates(wide):
+    cols = wide.columns[1:]
+    found = S.moments(wide.repartition(7), cols)
+    for c, (n, mean, m2) in zip(cols, found, strict=True):
+        want = wide.selectExpr(f"count(`{c}`)", f"avg(`{c}`)", f"stddev_pop(`{c}`)").first()
+        assert n == want[0]
+        if n:
+            assert mean == pytest.approx(want[1], rel=1e-12, abs=1e-15)
+            assert math.sqrt(m2 / n) == pytest.approx(want[2], rel=1e-9, abs=0)
+    assert found[cols.index("same")][2] == 0.0 and S.fit_standard(wide, cols).scale["same"] == 1.0
+
+
+def test_arrays_are_sorted_and_averaged_by_size(spark):
+    from policylens.operators import metrics
+    rows = spark.createDataFrame([(1, 0, [1.0, -3.0, 2.00004, 2.0]), (1, 1, [0.0, 0.0, 0.0, -0.00005]), (2, 0, [5.0, -7.0])], "model_id int, policy_id long, contributions array<double>").repartition(2)
+    names = {1: ["a", "b", "c", "d"], 2: ["a", "z"]}
+    got = {(r["model_id"], r["policy_id"]): [tuple(x) for x in r["features"]] for r in metrics.sort_arrays_by_abs(rows, names, by="model_id", digits=4).collect()}
+    assert got == {(1, 0): [("b", -3.0), ("c", 2.0), ("d", 2.0), ("a", 1.0)], (1, 1): [("d", -0.0001), ("a", 0.0), ("b", 0.0), ("c", 0.0)], (2, 0): [("z", -7.0), ("a", 5.0)]}
+    means = {(r["model_id"], r["feature"]): r["mean_abs"] for r in metrics.mean_abs_arrays(rows, names).collect()}
+    assert means == pytest.approx({(1, "a"): 0.5, (1, "b"): 1.5, (1, "c"): 1.00002, (1, "d"): 1.000025, (2, "a"): 5.0, (2, "z"): 7.0})
