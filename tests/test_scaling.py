@@ -92,3 +92,13 @@ def test_arrays_are_sorted_and_averaged_by_size(spark):
     assert got == {(1, 0): [("b", -3.0), ("c", 2.0), ("d", 2.0), ("a", 1.0)], (1, 1): [("d", -0.0001), ("a", 0.0), ("b", 0.0), ("c", 0.0)], (2, 0): [("z", -7.0), ("a", 5.0)]}
     means = {(r["model_id"], r["feature"]): r["mean_abs"] for r in metrics.mean_abs_arrays(rows, names).collect()}
     assert means == pytest.approx({(1, "a"): 0.5, (1, "b"): 1.5, (1, "c"): 1.00002, (1, "d"): 1.000025, (2, "a"): 5.0, (2, "z"): 7.0})
+
+
+def test_ensemble_makes_each_record_once(spark):
+    from policylens.operators import explain
+    rows = {m: spark.createDataFrame([(k, p + k, [("a", 1.0, p)]) for k in (1, 2)], "policy_id long, prediction double, features array<struct<name: string, value: double, contribution: double>>")
+            .selectExpr("policy_id", "prediction", "0.0D AS base_value", "features") for m, p in (("x", 1.0), ("y", 5.0))}
+    out = explain.ensemble_explanations(rows, {"x": 1.0, "y": 3.0})
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["policy_id"]: r for r in out.collect()}
+    assert got[2]["ensemble_prediction"] == pytest.approx(0.25 * 3 + 0.75 * 7) and [(e["model"], e["weight"]) for e in got[1]["explanations"]] == [("x", 0.25), ("y", 0.75)]
