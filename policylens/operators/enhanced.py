@@ -98,83 +98,28 @@ LOCATION_EXTRA = tuple(f"territory_{c}" for c in dims.ENHANCED_RISK_COLUMNS) + (
     "state_risk_factor", "location_combined_risk")
 
 
-def enhanced_driver_frame(drivers, vocab, as_of) -> DataFrame:
-    base = B.driver_features(drivers, vocab, as_of)
-    a, e = F.col("driver_age"), F.col("driver_experience")
-    return base.select("*", X.age_risk(a).alias("age_risk_factor"),
-                       X.experience_risk(e).alias("experience_risk_factor"),
-                       X.license_recency(a, e).alias("license_recency_factor"),
-                       X.ratio_at_least_one(a, e).alias("age_experience_ratio"))
-
-
-def enhanced_vehicle_frame(vehicles, vocab, as_of, strict_curve=True) -> DataFrame:
-    """X2 columns plus the X7 risk columns, one row per vehicle."""
-    a = X.as_date(as_of)
-    v = vehicles.select("*", X.make_model_key("make", "model").alias("_mm"),
-                        X.vehicle_age(a, "year").alias("_age"))
-    return v.select(
-        "policy_id",
-        F.col("_age").alias("vehicle_age"),
-        F.col("value").cast("double").alias("vehicle_value"),
-        F.col("annual_mileage"),
-        F.col("anti_theft_device").cast("int").alias("anti_theft_device"),
-        X.make_model_risk("_mm").alias("make_model_risk"),
-        *[X.one_hot(X.vehicle_class("_mm"), c).alias(f"vehicle_class_{c}") for c in dims.VEHICLE_CLASSES],
-        *[X.one_hot_nullable("primary_use", u).alias(f"use_{u}") for u in vocab.uses],
-        X.vehicle_category("_mm").alias("vehicle_category"),
-        X.category_risk("_mm").alias("category_risk_factor"),
-        X.theft_risk("_mm", "anti_theft_device").alias("theft_risk_factor"),
-        (F.col("value") * X.depreciation_factor("_age")).alias("depreciated_value"),
-        X.mileage_risk("annual_mileage", strict_curve).alias("mileage_risk_factor"),
-        X.ratio_at_least_one(F.col("value"), "_age").alias("value_age_ratio"),
-        X.value_mileage_factor("value", "annual_mileage").alias("value_mileage_factor"),
-    )
-
-
-def enhanced_location_frame(locations, vocab) -> DataFrame:
-    """X4 columns plus the X8 risk columns, one row per location."""
-    terr = X.territory("zip_code")
-    et = X.enhanced_territory("zip_code", "state")
-    loc = locations.select(
-        "policy_id",
-        *[X.territory_risk(terr, w).alias(w) for w in ("crime_rate", "weather_risk", "traffic_density")],
-        *[X.one_hot(terr, t).alias(f"territory_{t}") for t in dims.TERRITORIES],
-        *[X.one_hot("state", s).cast("double").alias(f"state_{s}") for s in vocab.states],
-        et.alias("enhanced_territory"),
-        *[X.enhanced_territory_risk(et, c).alias(f"territory_{c}") for c in dims.ENHANCED_RISK_COLUMNS],
-        X.state_risk("state").alias("state_risk_factor"),
-    )
-    return loc.select("*", X.weighted_location_risk(*[F.col(f"territory_{c}") for c in dims.ENHANCED_RISK_COLUMNS],
-                                                    F.col("state_risk_factor")).alias("location_combined_risk"))
-
-
-def _stats_and_mode(frame: DataFrame, prefix: str, count_name: str, cat_col: str | None) -> DataFrame:
-    numeric = [c for c in frame.columns if c not in ("policy_id", cat_col)]
-    aggs, finals = B.stat_aggs(numeric)
-    mode_final = None
-    if cat_col:
-        cats = VEHICLE_CATEGORIES if cat_col == "vehicle_category" else ENHANCED_TERRITORIES
-        m_aggs, mode_final = mode_aggs(cat_col, cats, cat_col)
-        aggs += m_aggs
-    aggs.append(F.count(F.lit(1)).alias(count_name))
-    g = frame.groupBy("policy_id").agg(*aggs)
-    out = [F.col("policy_id")] + [F.expr(e) for e in B.stat_selects(finals, prefix)]
-    if cat_col:
-        out.append(mode_final.alias(f"{prefix}_{cat_col}_mode"))
-    out.append(F.col(count_name))
-    return g.select(*out)
+def _mode_of(name: str, category, categories: list[str]):
+    """A2 for the folded row: the mode's name, a 0/1 column for each category, and the mode from their sums; null where no child has a category."""
+    _, best = mode_aggs(category, categories, name)
+    counts = [f"_c|{name}|{i}" for i in range(len(categories))]
+    some = sum((F.col(c) for c in counts[1:]), F.col(counts[0])) > 0
+    return name, [(n, X.one_hot(category, c)) for n, c in zip(counts, categories, strict=True)], F.when(some, best)
 
 
 def policy_features_enhanced(policies, drivers, vehicles, history, locations, vocab, as_of,
                              strict_curve: bool = True) -> DataFrame:
-    """Base policy row + enhanced child aggregates + categorical modes."""
-    dagg = _stats_and_mode(enhanced_driver_frame(drivers, vocab, as_of), "driver", "num_drivers", None)
-    vagg = _stats_and_mode(enhanced_vehicle_frame(vehicles, vocab, as_of, strict_curve), "vehicle",
-                           "num_vehicles", "vehicle_category")
-    lagg = _stats_and_mode(enhanced_location_frame(locations, vocab), "location", "num_locations",
-                           "enhanced_territory")
-    hagg = B.history_features(history, as_of)
-    base = policies.select("policy_id", "effective_date", "expiration_date", "credit_score", "insurance_score")
-    j = (base.join(dagg, "policy_id", "left").join(vagg, "policy_id", "left")
-         .join(hagg, "policy_id", "left").join(lagg, "policy_id", "left"))
-    return j.selectExpr("policy_id", *B.policy_row_sql(dagg, vagg, lagg))
+    """Base policy row + enhanced child aggregates + categorical modes, folded with them after the same one exchange."""
+    rows = B.child_parts(B.stack_tables(policies, drivers, vehicles, history, locations), as_of)
+    v, loc = F.col("v"), F.col("l")
+    rows = rows.select("*", X.vehicle_age(X.as_date(as_of), v["year"]).alias("_vage"), X.vehicle_category("_key").alias("_category"),
+                       X.enhanced_territory(loc["zip_code"], loc["state"]).alias("_et"))
+    a, e, risks = F.col("_age"), F.col("_years"), {f"territory_{c}": X.enhanced_territory_risk("_et", c) for c in dims.ENHANCED_RISK_COLUMNS}
+    state = X.state_risk(loc["state"])
+    more = {"d": (X.age_risk(a), X.experience_risk(e), X.license_recency(a, e), X.ratio_at_least_one(a, e)),
+            "v": (X.category_risk("_key"), X.theft_risk("_key", v["anti_theft_device"]), v["value"] * X.depreciation_factor("_vage"), X.mileage_risk(v["annual_mileage"], strict_curve),
+                  X.ratio_at_least_one(v["value"], "_vage"), X.value_mileage_factor(v["value"], v["annual_mileage"])),
+            "l": (*risks.values(), state, X.weighted_location_risk(*risks.values(), state))}
+    names = {"d": DRIVER_EXTRA, "v": VEHICLE_EXTRA, "l": LOCATION_EXTRA}
+    modes = {"v": _mode_of("vehicle_vehicle_category_mode", "_category", VEHICLE_CATEGORIES),
+             "l": _mode_of("location_enhanced_territory_mode", "_et", ENHANCED_TERRITORIES)}
+    return B.fold_policies(rows, vocab, as_of, {k: dict(zip(names[k], cols, strict=True)) for k, cols in more.items()}, modes)
