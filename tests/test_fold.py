@@ -4,8 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from policylens.operators import enhanced, features
-from policylens.plans.q_policy import vocab_for
+from policylens.operators import enhanced, features, nested_features
+from policylens.plans.q_policy import nested_files, vocab_for
 from policylens.sources.tables import POLICY_AS_OF, Fixtures
 from tests.conftest import SMOKE
 
@@ -22,6 +22,11 @@ def test_wide_rows_take_one_exchange_of_raw_fields(spark):
         assert plan.count("Exchange hashpartitioning(policy_id") == 1 and "Join" not in plan
 
 
+def test_records_are_not_folded_column_by_column(spark):
+    plan = plan_of(nested_features.policy_features(nested_files(spark, SMOKE), vocab_for(Fixtures(spark, SMOKE)), POLICY_AS_OF))
+    assert "Exchange" not in plan and "lambdafunction" not in plan.split("posexplode")[0] and "array_max" not in plan
+
+
 def test_policies_of_all_sizes_match_the_hash_aggregate(spark):
     day = dt.date(1990, 5, 17)
     policies = spark.createDataFrame([(k, day, day, 700.0, None) for k in (1, 2, 2, 3, None)],
