@@ -17,9 +17,8 @@ def plan_of(df):
 def test_wide_rows_take_one_exchange_of_raw_fields(spark):
     fx = Fixtures(spark, SMOKE)
     t = (fx.policies, fx.drivers, fx.vehicles, fx.history, fx.locations)
-    for rows in (features.policy_features, enhanced.policy_features_enhanced):
-        plan = plan_of(rows(*t, vocab_for(fx), POLICY_AS_OF))
-        assert plan.count("Exchange hashpartitioning(policy_id") == 1 and "Join" not in plan
+    plan = plan_of(enhanced.policy_features_enhanced(*t, vocab_for(fx), POLICY_AS_OF))
+    assert plan.count("Exchange hashpartitioning(policy_id") == 1 and "Join" not in plan
 
 
 def test_records_are_not_folded_column_by_column(spark):
@@ -44,7 +43,8 @@ def test_policies_of_all_sizes_match_the_hash_aggregate(spark):
                           F.lit(2.0).alias("claim_amount"), F.lit(None).cast("boolean").alias("at_fault"))
     locations = base.select("policy_id", F.lit("CA").alias("state"), F.col("id").cast("string").alias("zip_code"))
     vocab = features.fit_vocabulary(drivers, vehicles, history, locations)
-    got = features.policy_features(policies, drivers, vehicles, history, locations, vocab, POLICY_AS_OF).collect()
+    rows = features.child_parts(features.stack_tables(policies, drivers, vehicles, history, locations), POLICY_AS_OF)
+    got = features.fold_policies(rows, vocab, POLICY_AS_OF).collect()
     assert sorted(str(r.policy_id) for r in got) == ["1", "2", "2", "3", "None"]
     want = {}
     for child in (features.numeric_stats(features.driver_features(drivers, vocab, POLICY_AS_OF), "driver", "num_drivers"),
