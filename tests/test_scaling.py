@@ -102,3 +102,15 @@ def test_ensemble_makes_each_record_once(spark):
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = {r["policy_id"]: r for r in out.collect()}
     assert got[2]["ensemble_prediction"] == pytest.approx(0.25 * 3 + 0.75 * 7) and [(e["model"], e["weight"]) for e in got[1]["explanations"]] == [("x", 0.25), ("y", 0.75)]
+
+
+def test_wide_percentiles_makes_no_row_of_a_cell(spark, monkeypatch):
+    """Values in a bracket are counted in the tasks: 20,000 rows of 3 values each give few rows to exchange."""
+    df = spark.range(20_000).selectExpr(*[f"CAST(id % {3 + k} AS DOUBLE) AS c{k}" for k in range(4)], "CASE WHEN id % 2 = 0 THEN -0.0D END AS z").repartition(4)
+    made = []
+    monkeypatch.setattr(S, "settle", lambda rows, name: made.append(rows) or settle(rows, name))
+    from policylens.session import settle
+    found = S.wide_percentiles(df, df.columns, [0.25, 0.5, 0.75])
+    assert found == {f"c{k}": df.selectExpr(f"percentile(c{k}, array(0.25, 0.5, 0.75))").first()[0] for k in range(4)} | {"z": [0.0, 0.0, 0.0]}
+    plan = made[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
