@@ -50,3 +50,14 @@ def test_sorted_names_are_joined_as_their_structs_would_be(spark):
     want = {(r.model_id, r.policy_id): ",".join(i.name for i in r["items"]) for r in structs.collect()}
     got = {(r.model_id, r.policy_id): r.text for r in MT.sort_arrays_by_abs(rows, names, by="model_id", digits=4, out="text", joined=",").collect()}
     assert got == want == {("a", 1): "y,z,x", ("b", 1): "w,y", ("a", 2): "x,y,z"}
+
+
+def test_tasks_read_few_bytes_of_wide_rows(spark):
+    from policylens.session import fast_builds
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
+    fast_builds(spark)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("32m", "33554432b")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")  # a session's own choice stays
+    fast_builds(spark)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("16m", "16777216b")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32m")
